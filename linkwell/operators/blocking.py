@@ -22,9 +22,6 @@ PREFIX4_CAP = 500
 PREFIX6_CAP = 1000
 TOKEN_CAP = 200
 
-_KEY = ["country_norm", "_prefix"]
-
-
 def union_targets(s2: DataFrame, s3: DataFrame) -> DataFrame:
     """S2 and S3 as one table with a ``source`` column: each rule is one join, not two."""
     return s2.withColumn("source", F.lit("S2")).unionByName(s3.withColumn("source", F.lit("S3")))
@@ -42,10 +39,6 @@ def _right(targets: DataFrame, *columns: str | Column) -> DataFrame:
     return _named(targets).select(F.col("entity_id").alias(CANDIDATE_ID), *columns)
 
 
-def _prefix(length: int) -> Column:
-    return name_prefix(F.col("name_norm"), length).alias("_prefix")
-
-
 def _pairs(joined: DataFrame) -> DataFrame:
     return joined.select(S1_ID, CANDIDATE_ID)
 
@@ -98,32 +91,37 @@ def block_exact_name(s1: DataFrame, targets: DataFrame, rows_per_cell: int = ROW
     return _pairs(joined)
 
 
-def _prefix_join(s1: DataFrame, targets: DataFrame, length: int, rows_per_cell: int) -> DataFrame:
-    """Pairs with equal country and prefix, both names kept for later predicates."""
-    left = _left(s1, "country_norm", _prefix(length), F.col("name_norm").alias("_s1_name"))
-    right = _right(targets, "country_norm", _prefix(length), F.col("name_norm").alias("_name"))
-    return spread_join(left, right, _KEY, S1_ID, CANDIDATE_ID, rows_per_cell)
-
-
-def _other_name(joined: DataFrame) -> DataFrame:
-    return joined.filter(F.col("_s1_name") != F.col("_name"))
-
+def admitting_rule(
+    targets: DataFrame, counted: DataFrame, prefix4_cap: int = PREFIX4_CAP, prefix6_cap: int = PREFIX6_CAP
+) -> DataFrame:
+    """Add ``_rule``: 4 or 6 for the prefix rule that admits a named target row, null if both keys are too common.
 
-def _within_cap(targets: DataFrame, counted: DataFrame, length: int, cap: int, keep: bool = True) -> DataFrame:
-    """Targets whose block key is within the cap, or with ``keep=False`` beyond it."""
-    column = f"name_prefix{length}"
-    beyond = prefix_key_counts(counted, length).filter(F.col("frequency") > cap)
-    # The beyond side has at most rows/cap keys, so it is the small one to look up.
-    keyed = _named(targets).withColumn(column, name_prefix(F.col("name_norm"), length))
-    return keyed.join(beyond, ["source", "country_norm", column], "left_anti" if keep else "left_semi")
+    Equal prefixes of six imply equal prefixes of four, so the longer prefix
+    only matters where the shorter one is beyond its cap. The caps count rows
+    of ``counted``; at most rows/cap keys are beyond a cap.
+    """
+    out = _named(targets).withColumns({f"name_prefix{n}": name_prefix(F.col("name_norm"), n) for n in (4, 6)})
+    for n, cap in ((4, prefix4_cap), (6, prefix6_cap)):
+        beyond = prefix_key_counts(counted, n).filter(F.col("frequency") > cap).drop("frequency")
+        keys = ["source", "country_norm", f"name_prefix{n}"]
+        out = out.join(beyond.withColumn(f"_over{n}", F.lit(True)), keys, "left")
+    rule = F.when(F.col("_over4").isNull(), 4).when(F.col("_over6").isNull(), 6)
+    return out.withColumn("_rule", rule).drop("_over4", "_over6")
 
 
 def block_prefix(
     s1: DataFrame, targets: DataFrame, length: int = 4, cap: int | None = None, rows_per_cell: int = ROWS_PER_CELL
 ) -> DataFrame:
     """Pairs with equal country and name prefix, optionally only for keys within a frequency cap."""
-    kept = targets if cap is None else _within_cap(targets, targets, length, cap)
-    return _pairs(_prefix_join(s1, kept, length, rows_per_cell))
+    key = name_prefix(F.col("name_norm"), length).alias("_prefix")
+    right = _right(targets, "source", "country_norm", key)
+    if cap is not None:
+        # Keys beyond the cap are the few, at most rows/cap of them.
+        beyond = prefix_key_counts(targets, length).filter(F.col("frequency") > cap)
+        beyond = beyond.withColumnRenamed(f"name_prefix{length}", "_prefix")
+        right = right.join(beyond, ["source", "country_norm", "_prefix"], "left_anti")
+    left = _left(s1, "country_norm", key)
+    return _pairs(spread_join(left, right, ["country_norm", "_prefix"], S1_ID, CANDIDATE_ID, rows_per_cell))
 
 
 def block_token(
@@ -145,6 +143,26 @@ def _first_shared() -> Column:
     return F.get(F.array_intersect("_s1_tokens", "_tokens"), F.lit(0))
 
 
+def _token_hits(s1: DataFrame, targets: DataFrame, cap: int, min_length: int, rows_per_cell: int) -> DataFrame:
+    """Pairs of :func:`token_cap` with both sides' name and country."""
+    tokens = F.array_distinct(name_tokens(F.col("name_norm"), min_length))
+    keys = lambda side: [F.col(f"{f}_norm").alias(f"_{side}_{f}") for f in ("name", "country")]
+    postings = (
+        _right(targets, "source", tokens.alias("_tokens"), *keys("t"))
+        .withColumn("_token", F.explode("_tokens"))
+        .withColumn("_n", F.row_number().over(Window.partitionBy("source", "_token").orderBy(CANDIDATE_ID)))
+        .filter(F.col("_n") <= cap)
+        .drop("_n")
+    )
+    probes = _left(s1, tokens.alias("_s1_tokens"), *keys("s1")).select(
+        "*", F.posexplode("_s1_tokens").alias("_at", "_token")
+    )
+    joined = spread_join(probes, postings, ["_token"], S1_ID, CANDIDATE_ID, rows_per_cell)
+    met = joined.filter(_first_shared() == F.col("_token")).drop("_s1_tokens", "_tokens", "_token")
+    order = Window.partitionBy(S1_ID).orderBy("source", "_at", CANDIDATE_ID)
+    return met.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= cap)
+
+
 def token_cap(
     s1: DataFrame,
     targets: DataFrame,
@@ -163,24 +181,42 @@ def token_cap(
     ``cap`` rows per source. Both cuts rank within groups and are pre-cut
     before their shuffle.
     """
-    tokens = F.array_distinct(name_tokens(F.col("name_norm"), min_length))
-    postings = (
-        _right(targets, "source", tokens.alias("_tokens"))
-        .withColumn("_token", F.explode("_tokens"))
-        .withColumn("_n", F.row_number().over(Window.partitionBy("source", "_token").orderBy(CANDIDATE_ID)))
-        .filter(F.col("_n") <= cap)
-        .drop("_n")
-    )
-    probes = _left(s1, tokens.alias("_s1_tokens")).select("*", F.posexplode("_s1_tokens").alias("_at", "_token"))
-    joined = spread_join(probes, postings, ["_token"], S1_ID, CANDIDATE_ID, rows_per_cell)
-    met = joined.filter(_first_shared() == F.col("_token"))
-    order = Window.partitionBy(S1_ID).orderBy("source", "_at", CANDIDATE_ID)
-    ranked = met.select(S1_ID, CANDIDATE_ID, "source", "_at").withColumn("_n", F.row_number().over(order))
-    return _pairs(ranked.filter(F.col("_n") <= cap))
+    return _pairs(_token_hits(s1, targets, cap, min_length, rows_per_cell))
 
 
 # --- rule combinations -------------------------------------------------------------------------
 
+_RULE_KEY = ["_by", "_country", "_key"]
+
+
+def _key(by: int, key: Column, country: Column | None = None) -> Column:
+    return F.struct(
+        F.lit(by).alias("_by"), (F.lit("") if country is None else country).alias("_country"), key.alias("_key")
+    )
+
+
+def _prefix_key(length: int) -> Column:
+    return _key(length, name_prefix(F.col("name_norm"), length), F.col("country_norm"))
+
+
+def _join_by_rules(
+    s1: DataFrame, targets: DataFrame, s1_keys: list[Column], target_keys: list[Column], rows_per_cell: int
+) -> DataFrame:
+    """All rules as one join: each row brings one key per rule, tagged with the rule.
+
+    Rule 0 is the exact name; prefix rules leave pairs with equal names to it,
+    so that every pair comes out once and no ``distinct`` is needed.
+    """
+    keyed = lambda df, keys, name: df.withColumn(
+        "_at", F.explode(F.array_compact(F.array(*keys)))
+    ).select("*", F.col("name_norm").alias(name), *[F.col(f"_at.{c}").alias(c) for c in _RULE_KEY])
+    left = keyed(_named(s1), s1_keys, "_s1_name").select(F.col("entity_id").alias(S1_ID), "_s1_name", *_RULE_KEY)
+    right = keyed(_named(targets), target_keys, "_t_name").select(
+        F.col("entity_id").alias(CANDIDATE_ID), "_t_name", *_RULE_KEY
+    )
+    joined = spread_join(left, right, _RULE_KEY, S1_ID, CANDIDATE_ID, rows_per_cell)
+    return _pairs(joined.filter((F.col("_by") == 0) | (F.col("_s1_name") != F.col("_t_name"))))
+
 
 def block_index(
     s1: DataFrame,
@@ -190,18 +226,14 @@ def block_index(
     rows_per_cell: int = ROWS_PER_CELL,
 ) -> DataFrame:
     """Exact name, or country and prefix, or one of the capped token candidates."""
-    exact = block_exact_name(s1, targets, rows_per_cell)
-    prefix = _pairs(_other_name(_prefix_join(s1, targets, prefix_length, rows_per_cell)))
-    # Token pairs the other two rules already have are recognized by their keys.
-    keys = lambda side: [F.col("country_norm").alias(f"_{side}_country"), F.col("name_norm").alias(f"_{side}_name")]
-    hits = (
-        token_cap(s1, targets, max_token_candidates, rows_per_cell=rows_per_cell)
-        .join(_left(s1, *keys("s1")), S1_ID)
-        .join(_right(targets, *keys("t")), CANDIDATE_ID)
+    keys = [_key(0, F.col("name_norm")), _prefix_key(prefix_length)]
+    by_key = _join_by_rules(s1, targets, keys, keys, rows_per_cell)
+    prefix = lambda side: name_prefix(F.col(f"_{side}_name"), prefix_length)
+    covered = (F.col("_s1_name") == F.col("_t_name")) | (
+        (F.col("_s1_country") == F.col("_t_country")) & (prefix("s1") == prefix("t"))
     )
-    same_prefix = name_prefix(F.col("_s1_name"), prefix_length) == name_prefix(F.col("_t_name"), prefix_length)
-    covered = (F.col("_s1_name") == F.col("_t_name")) | ((F.col("_s1_country") == F.col("_t_country")) & same_prefix)
-    return exact.unionByName(prefix).unionByName(_pairs(hits.filter(~covered)))
+    hits = _token_hits(s1, targets, max_token_candidates, 3, rows_per_cell)
+    return by_key.unionByName(_pairs(hits.filter(~covered)))
 
 
 def block_capped(
@@ -215,25 +247,11 @@ def block_capped(
     """Exact name, or prefix 4 within its cap, or prefix 6 within its cap.
 
     The caps count the rows of ``counted``, by default the targets themselves.
-
-    Equal prefixes of six imply equal prefixes of four, so the third rule adds
-    pairs only where the prefix-4 key is beyond its cap; with exact names taken
-    out of both prefix rules the three parts are disjoint.
     """
-    counted = targets if counted is None else counted
-    exact = block_exact_name(s1, targets, rows_per_cell)
-    by4 = _other_name(_prefix_join(s1, _within_cap(targets, counted, 4, prefix4_cap), 4, rows_per_cell))
-    common4 = _within_cap(targets, counted, 4, prefix4_cap, keep=False).select(
-        "entity_id", "source", "country_norm", "name_norm"
-    )
-    rare6 = eligible_prefix_keys(counted, 6, prefix6_cap)
-    keyed = common4.withColumn("name_prefix6", name_prefix(F.col("name_norm"), 6))
-    by6 = _other_name(
-        _prefix_join(
-            s1, keyed.join(rare6, ["source", "country_norm", "name_prefix6"], "left_semi"), 6, rows_per_cell
-        )
-    )
-    return exact.unionByName(_pairs(by4)).unionByName(_pairs(by6))
+    name = _key(0, F.col("name_norm"))
+    ruled = admitting_rule(targets, targets if counted is None else counted, prefix4_cap, prefix6_cap)
+    admitted = [name, *[F.when(F.col("_rule") == n, _prefix_key(n)) for n in (4, 6)]]
+    return _join_by_rules(s1, ruled, [name, _prefix_key(4), _prefix_key(6)], admitted, rows_per_cell)
 
 
 # --- list form ---------------------------------------------------------------------------------

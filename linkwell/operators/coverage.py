@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from linkwell.functions.idlist import parse_ids
 from linkwell.functions.text import name_prefix
-from linkwell.operators.blocking import PREFIX4_CAP, PREFIX6_CAP, prefix_key_counts
+from linkwell.operators.blocking import PREFIX4_CAP, PREFIX6_CAP, admitting_rule, prefix_key_counts
 from linkwell.schema import CANDIDATE_ID, S1_ID
 
 _P4, _P6 = ["country_norm", "name_prefix4"], ["country_norm", "name_prefix6"]
@@ -28,15 +28,8 @@ def _rule_of_target_names(targets: DataFrame, prefix4_cap: int, prefix6_cap: int
         targets.filter(F.col("name_norm") != "")
         .groupBy("source", "country_norm", "name_norm")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumns(_prefixes())
-    )
-    beyond = lambda n, cap: prefix_key_counts(targets, n).filter(F.col("frequency") > cap).drop("frequency")
-    return (
-        names.join(beyond(4, prefix4_cap).withColumn("_over4", F.lit(True)), ["source", *_P4], "left")
-        .join(beyond(6, prefix6_cap).withColumn("_over6", F.lit(True)), ["source", *_P6], "left")
-        .withColumn("_rule", F.when(F.col("_over4").isNull(), 4).when(F.col("_over6").isNull(), 6))
-        .drop("_over4", "_over6")
     )
+    return admitting_rule(names, targets, prefix4_cap, prefix6_cap)
 
 
 def capped_candidate_counts(

@@ -26,11 +26,11 @@ def spread_join(
     table of hot keys holds at most rows/``rows_per_cell`` keys per side; the
     planner broadcasts it only if its measured size allows.
     """
-    l_count = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_ln"), F.lit(0).cast("bigint").alias("_rn"))
-    r_count = right.groupBy(*on).agg(F.lit(0).cast("bigint").alias("_ln"), F.count(F.lit(1)).alias("_rn"))
+    one, none = F.lit(1), F.lit(0)
     cut = lambda n: F.ceil(F.col(n) / rows_per_cell).cast("int")
     hot = (
-        l_count.unionByName(r_count)
+        left.select(*on, one.alias("_ln"), none.alias("_rn"))
+        .unionByName(right.select(*on, none.alias("_ln"), one.alias("_rn")))
         .groupBy(*on)
         .agg(F.sum("_ln").alias("_ln"), F.sum("_rn").alias("_rn"))
         .filter((F.least("_ln", "_rn") > 0) & (F.greatest("_ln", "_rn") > rows_per_cell))

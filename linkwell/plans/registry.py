@@ -69,7 +69,8 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def capped_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocking.block_capped(*sides(spark, sf_dir), PREFIX4_CAP, PREFIX6_CAP)
+    """Candidate pairs for the steps after blocking, staged as the pipeline hands them on."""
+    return _once(spark, sf_dir, "pairs", lambda: block_capped(spark, sf_dir))
 
 
 def token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,7 +252,7 @@ def block_prefix6_capped(spark, sf_dir):
 
 @query
 def block_capped(spark, sf_dir):
-    return capped_pairs(spark, sf_dir)
+    return blocking.block_capped(*sides(spark, sf_dir), PREFIX4_CAP, PREFIX6_CAP)
 
 
 @query
