@@ -48,4 +48,7 @@ def spread_join(
         .withColumns({"_j": bucket(right_id, F.col("_cols")), "_i": every(F.col("_rows"))})
         .drop("_rows", "_cols")
     )
-    return spread_left.join(spread_right, [*on, "_i", "_j"]).drop("_i", "_j")
+    cell = [*on, "_i", "_j"]
+    # A block's output outgrows its input, so small inputs must not be merged into few tasks.
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return spread_left.repartition(tasks, *cell).join(spread_right.repartition(tasks, *cell), cell).drop("_i", "_j")

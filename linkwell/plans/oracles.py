@@ -210,6 +210,27 @@ def ratio_sql(f: str) -> str:
   from ({_distinct_texts(f)}))"""
 
 
+def partial_sql(f: str) -> str:
+    """Every window, prefix and suffix of the longer text spelled out and scored on its own."""
+    return f"""{f}_o as materialized (
+  select a, b, case when length(a) <= length(b) then a else b end as s,
+    case when length(a) <= length(b) then b else a end as l from ({_distinct_texts(f)}) where a <> b and a <> '' and b <> ''
+  union all select a, b, b, a from ({_distinct_texts(f)}) where a <> b and a <> '' and length(a) = length(b)),
+{f}_v as materialized (
+  select distinct s, substr(l, greatest(k, 1)::int, (least(k + length(s), length(l) + 1) - greatest(k, 1))::int) as w
+  from {f}_o, unnest(range(2 - length(s), length(l) + 1)) r(k)),
+{f}_m as materialized (
+  select s, w, 2.0::double * {lcs_sql('s', 'w')} / (length(s) + length(w)) as score from {f}_v),
+{f}_b as materialized (
+  select o.a, o.b, max(m.score) as score
+  from {f}_o o, unnest(range(2 - length(o.s), length(o.l) + 1)) r(k)
+  join {f}_m m on m.s = o.s and m.w = substr(o.l, greatest(k, 1)::int,
+    (least(k + length(o.s), length(o.l) + 1) - greatest(k, 1))::int)
+  group by all
+  union all
+  select a, b, case when a = b then 1.0 else 0.0 end from ({_distinct_texts(f)}) where a = b or a = '' or b = '')"""
+
+
 def token_set_sql(f: str) -> str:
     joined = lambda e: f"array_to_string(list_sort(list_filter({e[0]}, lambda w: {e[1]} list_contains({e[2]}, w))), ' ')"
     return f"""{f}_w as materialized (
@@ -238,6 +259,21 @@ from attr join name_{part} n on n.a = name_a and n.b = name_b
   join address_{part} d on d.a = address_a and d.b = address_b"""
 
 
+def all_features_sql(extra: str = "", label: str = "") -> str:
+    made = [make(f) for make in (ratio_sql, partial_sql, token_set_sql) for f in ("name", "address")]
+    kinds = {"ratio": "r", "partial_ratio": "b", "token_set_ratio": "s"}
+    scores = [f"{f}_{t}.score as {f}_{k}" for f in ("name", "address") for k, t in kinds.items()]
+    native = [f"{jaccard_sql(f)} as {f}_jaccard, {length_sql(f)} as {f}_length_diff" for f in ("name", "address")]
+    joins = " ".join(
+        f"join {f}_{t} on {f}_{t}.a = pair.{f}_a and {f}_{t}.b = pair.{f}_b"
+        for f in ("name", "address") for t in kinds.values()
+    )
+    columns = ", ".join([*scores, *native, f"{numeric_sql()} as numeric_overlap", f"{COUNTRY_MATCH} as country_match"])
+    return f"""{pairs_sql(CAPPED)}{extra}, {ATTRIBUTES}, {", ".join(made)}
+select source1_entity_id, candidate_entity_id, {label}{columns}
+from attr pair {joins}{" join labelled using (source1_entity_id, candidate_entity_id)" if label else ""}"""
+
+
 # --- scored pairs ------------------------------------------------------------------------------
 
 LABELLED = """labelled as materialized (
@@ -406,6 +442,7 @@ select (select count(*) from s1) as entities, sum(n)::double / (select count(*)
     out["pair_attributes"] = f"{base} select * from attr"
     out["pair_labels"] = f"{pairs_sql(CAPPED)}, {truth_sql()}, {LABELLED} select * from labelled"
     out["feature_ratio"] = fuzzy_sql("ratio", ratio_sql, "r")
+    out["feature_partial_ratio"] = fuzzy_sql("partial_ratio", partial_sql, "b")
     out["feature_token_set_ratio"] = fuzzy_sql("token_set_ratio", token_set_sql, "s")
     out["feature_jaccard"] = (
         f"{base} select {ids}, {jaccard_sql('name')} as name_jaccard, {jaccard_sql('address')} as address_jaccard from attr"
@@ -417,6 +454,9 @@ select (select count(*) from s1) as entities, sum(n)::double / (select count(*)
     out["feature_numeric_overlap"] = f"{base} select {ids}, {numeric_sql()} as numeric_overlap from attr"
     out["feature_country_match"] = f"{base} select {ids}, {COUNTRY_MATCH} as country_match from attr"
 
+    out["pair_features"] = all_features_sql()
+    out["feature_table"] = all_features_sql(f", {truth_sql()}, {LABELLED}", "label, ")
+
     out["group_split"] = f"{pairs_sql(CAPPED)}, {SPLIT} select * from pairs join sides using (source1_entity_id)"
     out["split_counts"] = f"""{pairs_sql(CAPPED)}, {SPLIT}
 select side as split, count(distinct source1_entity_id) as entities, count(*) as pairs
