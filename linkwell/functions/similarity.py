@@ -10,7 +10,6 @@ to one pair at a time.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -188,15 +187,13 @@ def best_windows(a: list[str], b: list[str]) -> np.ndarray:
 
 
 @F.pandas_udf(T.LongType())
-def _lcs(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for a, b in batches:
-        yield pd.Series(lcs_lengths(a.tolist(), b.tolist()))
+def _lcs(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series(lcs_lengths(a.tolist(), b.tolist()))
 
 
 @F.pandas_udf(T.DoubleType())
-def _best_window(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for a, b in batches:
-        yield pd.Series(best_windows(a.tolist(), b.tolist()))
+def _best_window(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series(best_windows(a.tolist(), b.tolist()))
 
 
 # --- column functions --------------------------------------------------------------------------

@@ -88,7 +88,7 @@ def name_prefix(name_norm: Column, length: int) -> Column:
 
 def words(c: Column) -> Column:
     """Space-separated words; the empty text has none."""
-    return F.filter(F.split(null_to_empty(c), " "), lambda w: w != "")
+    return F.array_remove(F.split(null_to_empty(c), " "), "")
 
 
 def name_tokens(name_norm: Column, min_length: int = 3) -> Column:

@@ -16,16 +16,15 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may fall back to a folder of its own; on a cluster a
     machine-local folder would be lost with its machine, so that is an error.
     """
-    path = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    path = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="linkwell-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() if "://" not in path else path
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(path)
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
