@@ -1,8 +1,7 @@
 """String-similarity scores of two columns.
 
-Set measures are built-in expressions. The two measures that need an alignment
-(longest common subsequence, best window) run as one Arrow-batched function per
-pair table: a batch is scored with array operations over all its pairs at once,
+Set measures are built-in expressions. The three measures that need an alignment
+(whole texts, best window, word sets) share one Arrow exchange per pair table: a batch is scored with array operations over all its pairs at once,
 64 characters per machine word, and only needles beyond 64 characters fall back
 to one pair at a time.
 """
@@ -186,6 +185,43 @@ def best_windows(a: list[str], b: list[str]) -> np.ndarray:
     return out
 
 
+def token_set_scores(a: list[str], b: list[str]) -> np.ndarray:
+    """Token-set ratio of each pair; 0 where a side has no word.
+
+    With ``i`` the length of the shared words, ``g`` the space behind them and
+    ``x``, ``y`` what only one side has, the three candidates compare
+    shared+x with shared+y, shared with shared+x, and shared with shared+y.
+    """
+    out = np.zeros(len(a))
+    rows, rest_a, rest_b, shared = [], [], [], []
+    for r, (s, t) in enumerate(zip(a, b)):
+        left, right = set(s.split()), set(t.split())
+        if not left or not right:
+            continue
+        both = left & right
+        if both and (len(both) == len(left) or len(both) == len(right)):
+            out[r] = 1.0
+            continue
+        rows.append(r)
+        rest_a.append(" ".join(sorted(left - both)))
+        rest_b.append(" ".join(sorted(right - both)))
+        shared.append(sum(map(len, both)) + max(len(both) - 1, 0))
+    if rows:
+        i = np.array(shared)
+        g = (i > 0).astype(np.int64)
+        x, y = (np.array([len(t) for t in rest]) for rest in (rest_a, rest_b))
+        edits = x + y - 2 * lcs_lengths(rest_a, rest_b)
+        best = 1.0 - edits / (2 * (i + g) + x + y)
+        only = np.maximum(1.0 - (g + x) / (2 * i + g + x), 1.0 - (g + y) / (2 * i + g + y))
+        out[rows] = np.where(i > 0, np.maximum(best, only), best)
+    return out
+
+
+@F.pandas_udf(T.DoubleType())
+def _token_sets(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series(token_set_scores(a.tolist(), b.tolist()))
+
+
 @F.pandas_udf(T.LongType())
 def _lcs(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(lcs_lengths(a.tolist(), b.tolist()))
@@ -216,23 +252,7 @@ def partial_ratio(a: Column, b: Column) -> Column:
 
 def token_set_ratio(a: Column, b: Column) -> Column:
     """Best ratio among shared words, shared plus one side's rest, and both rests."""
-    ta, tb = F.array_distinct(words(a)), F.array_distinct(words(b))
-    joined = lambda arr: F.array_join(F.array_sort(arr), " ")
-    shared = F.array_intersect(ta, tb)
-    x, y = joined(F.array_except(ta, tb)), joined(F.array_except(tb, ta))
-    i, nx, ny = F.length(joined(shared)), F.length(x), F.length(y)
-    gap = (i > 0).cast("int")
-    left, right = i + gap + nx, i + gap + ny
-    edits = nx + ny - F.lit(2) * _lcs(x, y)
-    rests = F.lit(1.0) - edits / F.nullif(left + right, F.lit(0))
-    only_x = F.lit(1.0) - (gap + nx) / F.nullif(i + left, F.lit(0))
-    only_y = F.lit(1.0) - (gap + ny) / F.nullif(i + right, F.lit(0))
-    return (
-        F.when((F.size(ta) == 0) | (F.size(tb) == 0), F.lit(0.0))
-        .when((i > 0) & ((nx == 0) | (ny == 0)), F.lit(1.0))
-        .when(i == 0, rests)
-        .otherwise(F.greatest(rests, only_x, only_y))
-    )
+    return _token_sets(null_to_empty(a), null_to_empty(b))
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -270,5 +270,5 @@ def candidate_lists(s1: DataFrame, pairs: DataFrame) -> DataFrame:
         .groupBy(S1_ID)
         .agg(F.bool_or("_known").alias("_known"), F.collect_set(CANDIDATE_ID).alias("_ids"))
         .filter("_known")
-        .select(S1_ID, F.array_join(F.array_sort("_ids"), ",").alias("candidate_entity_ids"))
+        .select(S1_ID, F.array_join(F.sort_array("_ids"), ",").alias("candidate_entity_ids"))
     )

@@ -52,9 +52,20 @@ def feature_columns() -> dict[str, Column]:
     return {c: out[c] for c in FEATURE_COLUMNS}
 
 
+_ALIGNED = {f"{f}_{kind}" for f in ("name", "address") for kind in ("ratio", "partial_ratio", "token_set_ratio")}
+
+
 def score_pairs(attributes: DataFrame, features: list[str] | None = None) -> DataFrame:
-    """Replace the attribute columns by the features, other columns kept."""
+    """Replace the attribute columns by the features, other columns kept.
+
+    Aligning two texts costs far more than moving the pair, so for alignment
+    scores the pairs are first dealt out evenly by both ids: neither a popular
+    record nor a lookup planned for few tasks then decides who has to score.
+    """
     wanted = feature_columns()
+    if _ALIGNED & set(features or FEATURE_COLUMNS):
+        tasks = int(attributes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        attributes = attributes.repartition(tasks, S1_ID, CANDIDATE_ID)
     dropped = {f"{f}_{s}" for f in _FIELDS for s in "ab"}
     kept = [c for c in attributes.columns if c not in dropped]
     return attributes.select(*kept, *[wanted[c].alias(c) for c in features or FEATURE_COLUMNS])

@@ -30,7 +30,7 @@ def match_lists(
         .groupBy(S1_ID)
         .agg(F.bool_or("_known").alias("_known"), F.collect_set(CANDIDATE_ID).alias("_ids"))
         .filter("_known")
-        .select(S1_ID, F.array_join(F.array_sort("_ids"), ",").alias("matched_entity_ids"))
+        .select(S1_ID, F.array_join(F.sort_array("_ids"), ",").alias("matched_entity_ids"))
     )
 
 

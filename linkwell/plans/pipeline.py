@@ -66,7 +66,7 @@ def resolve_prepared(
         matched_pairs(scored, threshold)
         .join(members, CANDIDATE_ID)
         .groupBy(S1_ID)
-        .agg(F.array_join(F.array_sort(F.collect_set("_member")), ",").alias("_ids"))
+        .agg(F.array_join(F.sort_array(F.collect_set("_member")), ",").alias("_ids"))
         .withColumnRenamed(S1_ID, "_profile")
     )
     return (

@@ -45,12 +45,12 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, make: Callable[[], DataFr
 # --- derived inputs ----------------------------------------------------------------------------
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_parquet(spark, f"{sf_dir}/documents.parquet", spread_by="doc_id")
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "entities", lambda: documents.document_entities(table(spark, sf_dir, "documents")))
+    return _once(spark, sf_dir, "entities", lambda: documents.document_entities(texts(spark, sf_dir)))
 
 
 def records(spark: SparkSession, sf_dir: str, dialect: str) -> DataFrame:
@@ -92,8 +92,13 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled pairs with the mean of four features in the place of a model's probability."""
     parts = ["name_jaccard", "address_jaccard", "numeric_overlap", "country_match"]
     mean = sum((F.col(p).cast("double") for p in parts[1:]), F.col(parts[0])) / 4
-    pairs = features.label_pairs(attributes(spark, sf_dir), truth(spark, sf_dir))
-    return features.score_pairs(pairs, parts).select(S1_ID, CANDIDATE_ID, "label", mean.alias("match_probability"))
+
+    def make() -> DataFrame:
+        pairs = features.label_pairs(attributes(spark, sf_dir), truth(spark, sf_dir))
+        scores = features.score_pairs(pairs, parts)
+        return scores.select(S1_ID, CANDIDATE_ID, "label", mean.alias("match_probability"))
+
+    return _once(spark, sf_dir, "scored", make)
 
 
 # --- sources and sinks -------------------------------------------------------------------------
@@ -131,7 +136,7 @@ def _text_query(name: str, make: Query) -> None:
 
 
 for _d in text.DIALECTS:
-    _text_query(f"normalize_text_{_d}", lambda spark, sf_dir, d=_d: table(spark, sf_dir, "documents").select(
+    _text_query(f"normalize_text_{_d}", lambda spark, sf_dir, d=_d: texts(spark, sf_dir).select(
         "doc_id", text.normalize_text(F.col("text"), d).alias("text_norm")))
     _text_query(f"normalize_name_{_d}", lambda spark, sf_dir, d=_d: entities(spark, sf_dir).select(
         "entity_id", text.normalize_name(F.col("business_name"), d).alias("name_norm")))
@@ -148,7 +153,7 @@ def normalize_country(spark, sf_dir):
 
 @query
 def normalize_entities(spark, sf_dir):
-    return normalize.normalize_entities(documents.document_entities(table(spark, sf_dir, "documents")), "ascii")
+    return normalize.normalize_entities(documents.document_entities(texts(spark, sf_dir)), "ascii")
 
 
 @query
@@ -165,13 +170,13 @@ def name_tokens(spark, sf_dir):
 @query
 def address_numbers(spark, sf_dir):
     runs = text.numbers(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.array_sort(runs), " ").alias("numbers"))
+    return texts(spark, sf_dir).select("doc_id", F.array_join(F.sort_array(runs), " ").alias("numbers"))
 
 
 @query
 def parse_id_list(spark, sf_dir):
     ids = idlist.parse_ids(F.col("text"))
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         "doc_id", F.size(ids).alias("n_ids"), F.md5(F.array_join(ids, "|")).alias("ids_digest")
     )
 

@@ -21,7 +21,7 @@ STREETS = {1: " Street, Suite ", 2: " St., Suite ", 3: " Street, Ste "}
 def document_entities(documents: DataFrame) -> DataFrame:
     """Entity columns plus ``source`` and ``truth_key``; one narrow pass over the documents."""
     all_words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")
-    by_length = F.array_sort(
+    by_length = F.sort_array(
         F.transform(F.array_distinct("_words"), lambda w: F.struct((-F.length(w)).alias("l"), w.alias("w")))
     )
     number = (F.col("doc_id") % 3 + 1).cast("int")
@@ -69,7 +69,7 @@ def truth_pairs(entities: DataFrame) -> DataFrame:
 
 def truth_lists(s1: DataFrame, pairs: DataFrame) -> DataFrame:
     """Wide truth: every S1 id with its comma-joined partners, at most one per target source."""
-    joined = pairs.groupBy(S1_ID).agg(F.array_join(F.array_sort(F.collect_set(CANDIDATE_ID)), ",").alias("_ids"))
+    joined = pairs.groupBy(S1_ID).agg(F.array_join(F.sort_array(F.collect_set(CANDIDATE_ID)), ",").alias("_ids"))
     return (
         s1.select(F.col("entity_id").alias(S1_ID))
         .join(joined, S1_ID, "left")

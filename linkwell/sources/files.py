@@ -28,6 +28,19 @@ def read_entities(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return require_columns(read_tsv(spark, path), ENTITY_COLUMNS)
 
 
+def read_parquet(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
+    """Parquet table. With ``spread_by``, a table of fewer splits than cores is dealt out by that column.
+
+    That only concerns tables of a few files, where heavy work on each row
+    would leave most cores idle; a large table is read split by split.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, spread_by)
+    return df
+
+
 def write_tsv(
     df: DataFrame, path: str, sort_by: str | None = None, single_file: bool = False, mode: str = "overwrite"
 ) -> None:
