@@ -143,24 +143,28 @@ def _first_shared() -> Column:
     return F.get(F.array_intersect("_s1_tokens", "_tokens"), F.lit(0))
 
 
-def _token_hits(s1: DataFrame, targets: DataFrame, cap: int, min_length: int, rows_per_cell: int) -> DataFrame:
-    """Pairs of :func:`token_cap` with both sides' name and country."""
+def _token_hits(
+    s1: DataFrame, targets: DataFrame, cap: int, min_length: int, rows_per_cell: int, *carried: Column
+) -> DataFrame:
+    """Pairs of :func:`token_cap`, with columns carried over from S1."""
     tokens = F.array_distinct(name_tokens(F.col("name_norm"), min_length))
-    keys = lambda side: [F.col(f"{f}_norm").alias(f"_{side}_{f}") for f in ("name", "country")]
+    rank = F.row_number().over(Window.partitionBy("source", "_token").orderBy(CANDIDATE_ID))
     postings = (
-        _right(targets, "source", tokens.alias("_tokens"), *keys("t"))
-        .withColumn("_token", F.explode("_tokens"))
-        .withColumn("_n", F.row_number().over(Window.partitionBy("source", "_token").orderBy(CANDIDATE_ID)))
+        _right(targets, "source", F.explode(tokens).alias("_token"))
+        .withColumn("_n", rank)
         .filter(F.col("_n") <= cap)
-        .drop("_n")
+        .groupBy("source", "_token")
+        .agg(F.sort_array(F.collect_list(CANDIDATE_ID)).alias("_ids"))
     )
-    probes = _left(s1, tokens.alias("_s1_tokens"), *keys("s1")).select(
-        "*", F.posexplode("_s1_tokens").alias("_at", "_token")
+    probes = _left(s1, *carried, F.posexplode(tokens).alias("_at", "_token"))
+    met = spread_join(probes, postings, ["_token"], S1_ID, "_token", rows_per_cell)
+    kept = [c for c in probes.columns if not c.startswith("_")]
+    walked = F.sort_array(F.collect_list(F.struct("source", "_at", "_ids")))
+    return (
+        met.groupBy(*kept)
+        .agg(F.slice(F.array_distinct(F.flatten(walked.getField("_ids"))), 1, cap).alias("_ids"))
+        .select(*kept, F.explode("_ids").alias(CANDIDATE_ID))
     )
-    joined = spread_join(probes, postings, ["_token"], S1_ID, CANDIDATE_ID, rows_per_cell)
-    met = joined.filter(_first_shared() == F.col("_token")).drop("_s1_tokens", "_tokens", "_token")
-    order = Window.partitionBy(S1_ID).orderBy("source", "_at", CANDIDATE_ID)
-    return met.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= cap)
 
 
 def token_cap(
@@ -177,9 +181,9 @@ def token_cap(
     ascend. A candidate first met at a token can only rank within ``cap`` if it
     is among the ``cap`` smallest ids of that token's posting, as all smaller
     ids there rank before it. Cutting each posting at ``cap`` ids is therefore
-    exact, and it bounds the join: no token, however common, brings more than
-    ``cap`` rows per source. Both cuts rank within groups and are pre-cut
-    before their shuffle.
+    exact. A cut posting is one row, at most two of them meet a token of an S1
+    record, and ranking within postings is pre-cut before its shuffle, so no
+    token, however common, grows with the table.
     """
     return _pairs(_token_hits(s1, targets, cap, min_length, rows_per_cell))
 
@@ -228,11 +232,13 @@ def block_index(
     """Exact name, or country and prefix, or one of the capped token candidates."""
     keys = [_key(0, F.col("name_norm")), _prefix_key(prefix_length)]
     by_key = _join_by_rules(s1, targets, keys, keys, rows_per_cell)
-    prefix = lambda side: name_prefix(F.col(f"_{side}_name"), prefix_length)
-    covered = (F.col("_s1_name") == F.col("_t_name")) | (
-        (F.col("_s1_country") == F.col("_t_country")) & (prefix("s1") == prefix("t"))
+    prefix = lambda side: name_prefix(F.col(f"{side}_name"), prefix_length)
+    carried = [F.col("name_norm").alias("s1_name"), F.col("country_norm").alias("s1_country")]
+    theirs = _right(targets, F.col("name_norm").alias("t_name"), F.col("country_norm").alias("t_country"))
+    hits = _token_hits(s1, targets, max_token_candidates, 3, rows_per_cell, *carried).join(theirs, CANDIDATE_ID)
+    covered = (F.col("s1_name") == F.col("t_name")) | (
+        (F.col("s1_country") == F.col("t_country")) & (prefix("s1") == prefix("t"))
     )
-    hits = _token_hits(s1, targets, max_token_candidates, 3, rows_per_cell)
     return by_key.unionByName(_pairs(hits.filter(~covered)))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_CELL = 10_000
+ROWS_PER_CELL = 2_000
 
 
 def spread_join(
