@@ -58,10 +58,10 @@ def entity_macro_f05(scored: DataFrame, threshold: float | Column) -> DataFrame:
     return entity_f05(scored, threshold).agg(F.coalesce(F.avg("f05"), F.lit(0.0)).alias("entity_macro_f05"))
 
 
-def threshold_sweep(scored: DataFrame) -> DataFrame:
+def threshold_sweep(scored: DataFrame, pairs: str | None = None) -> DataFrame:
     """Pair-level metrics at each of the 46 thresholds from one pass over the pairs.
 
-    A pair counts at every threshold up to its probability, so it falls into
+    A row stands for one pair, or for as many as its column ``pairs`` says. A pair counts at every threshold up to its probability, so it falls into
     one bucket, the number of thresholds it reaches; running sums over the 47
     bucket totals give the counts at each threshold.
     """
@@ -70,10 +70,12 @@ def threshold_sweep(scored: DataFrame) -> DataFrame:
     grid = spark.range(len(THRESHOLDS) + 1).select(
         F.col("id").cast("int").alias("bucket"), F.lit(0).cast("bigint").alias("_pos"), F.lit(0).cast("bigint").alias("_neg")
     )
+    each = F.lit(1) if pairs is None else F.col(pairs)
+    counted = lambda y: F.coalesce(F.sum(F.when(F.col("label") == y, each)), F.lit(0))
     totals = (
-        scored.select(reached.alias("bucket"), "label")
+        scored.select(reached.alias("bucket"), "label", each.cast("bigint").alias(pairs or "_each"))
         .groupBy("bucket")
-        .agg(F.count_if(_is_true()).alias("_pos"), F.count_if(F.col("label") == 0).alias("_neg"))
+        .agg(counted(1).alias("_pos"), counted(0).alias("_neg"))
         .unionByName(grid)
         .groupBy("bucket")
         .agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
@@ -90,18 +92,23 @@ def threshold_sweep(scored: DataFrame) -> DataFrame:
     return _with_rates(counts.select(F.get(values, F.col("bucket") - 1).alias("threshold"), "tp", "fp", "fn"))
 
 
+def best_threshold(sweep: DataFrame) -> DataFrame:
+    """The row of the best pair-level F0.5, the lowest threshold on ties."""
+    return sweep.orderBy(F.desc("f05"), F.asc("threshold")).limit(1)
+
+
+def threshold_record(best: DataFrame, macro: DataFrame) -> DataFrame:
+    return best.select(
+        F.round("threshold", 2).alias("threshold"), "precision", "recall", "f05",
+        macro.scalar().alias("entity_macro_f05"),
+    )
+
+
 def select_threshold(scored: DataFrame) -> DataFrame:
     """The threshold of the best pair-level F0.5, the lowest one on ties, with its metrics.
 
     Entity-level F0.5 is computed at the winner only. The winner is a one-row
     scalar subquery, so nothing returns to the driver.
     """
-    best = threshold_sweep(scored).orderBy(F.desc("f05"), F.asc("threshold")).limit(1)
-    macro = entity_macro_f05(scored, best.select("threshold").scalar())
-    return best.select(
-        F.round("threshold", 2).alias("threshold"),
-        "precision",
-        "recall",
-        "f05",
-        macro.scalar().alias("entity_macro_f05"),
-    )
+    best = best_threshold(threshold_sweep(scored))
+    return threshold_record(best, entity_macro_f05(scored, best.select("threshold").scalar()))

@@ -22,18 +22,20 @@ def route_candidates(pairs: DataFrame) -> DataFrame:
     return pairs.filter(is_target(F.col(CANDIDATE_ID))).withColumn("source", source_of(F.col(CANDIDATE_ID)))
 
 
-def _side(df: DataFrame, key: str, suffix: str) -> DataFrame:
+def _side(df: DataFrame, key: str, suffix: str, carried: tuple[str, ...]) -> DataFrame:
     fields = [F.col(f"{f}_norm").alias(f"{f}_{suffix}") for f in _FIELDS]
-    return df.select(F.col("entity_id").alias(key), *fields)
+    return df.select(F.col("entity_id").alias(key), *fields, *[F.col(c).alias(f"{c}_{suffix}") for c in carried])
 
 
-def pair_attributes(pairs: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFrame:
-    """Both sides' normalized fields; pairs with an unknown id are dropped.
+def pair_attributes(pairs: DataFrame, s1: DataFrame, targets: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Both sides' normalized fields and ``carried`` columns; pairs with an unknown id are dropped.
 
     Each lookup side is unique on its id, so an id with very many pairs only
     makes its pair partition long, which adaptive execution splits.
     """
-    return pairs.join(_side(s1, S1_ID, "a"), S1_ID).join(_side(targets, CANDIDATE_ID, "b"), CANDIDATE_ID)
+    return pairs.join(_side(s1, S1_ID, "a", carried), S1_ID).join(
+        _side(targets, CANDIDATE_ID, "b", carried), CANDIDATE_ID
+    )
 
 
 def feature_columns() -> dict[str, Column]:

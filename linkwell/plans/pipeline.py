@@ -1,4 +1,12 @@
-"""The linkage pipeline, stage by stage and end to end."""
+"""The linkage pipeline, stage by stage and end to end.
+
+Records that agree in all normalized fields get the same candidates, features
+and scores. The pipeline merges them into profiles: blocking, scoring, training
+and evaluation see each pair of profiles once, together with the number of
+record pairs it stands for. A third of a table being copies of one record costs
+one profile, not a product of copies. Frequency caps still count records, and
+the metrics are those over all record pairs.
+"""
 
 from __future__ import annotations
 
@@ -6,16 +14,17 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkwell.functions.metrics import f05
 from linkwell.operators.blocking import PREFIX4_CAP, PREFIX6_CAP, block_capped, union_targets
-from linkwell.operators.evaluate import select_threshold
-from linkwell.operators.features import pair_attributes, pair_feature_table, score_pairs
-from linkwell.operators.model import score, train_and_validate
+from linkwell.operators.evaluate import best_threshold, threshold_record, threshold_sweep
+from linkwell.operators.features import pair_attributes, score_pairs
+from linkwell.operators.model import group_split, score, train_model
 from linkwell.operators.normalize import normalize_entities
 from linkwell.operators.output import DEFAULT_THRESHOLD, matched_pairs
 from linkwell.schema import CANDIDATE_ID, S1_ID
 from linkwell.session import stage
 
-_PROFILE = ["name_norm", "address_norm", "country_norm"]
+_FIELDS = ["name_norm", "address_norm", "country_norm"]
 
 
 def prepare(s1: DataFrame, s2: DataFrame, s3: DataFrame, dialect: str = "ascii") -> tuple[DataFrame, DataFrame]:
@@ -24,20 +33,111 @@ def prepare(s1: DataFrame, s2: DataFrame, s3: DataFrame, dialect: str = "ascii")
     return stage(tidy[0], "s1"), stage(union_targets(tidy[1], tidy[2]), "targets")
 
 
+# --- profiles ----------------------------------------------------------------------------------
+
+
+def with_profile(records: DataFrame) -> DataFrame:
+    """Add ``profile``, a digest of the normalized fields and, for targets, the source."""
+    source = ["source"] if "source" in records.columns else []
+    # Normalized text never holds the separator, so equal digests mean equal fields.
+    return records.withColumn("profile", F.md5(F.concat_ws("\x1f", *source, *_FIELDS)))
+
+
+def merge_profiles(records: DataFrame) -> DataFrame:
+    """One row per profile in the shape of a record table, with its number of records ``n``."""
+    keys = [c for c in ["profile", "source", *_FIELDS] if c in records.columns]
+    return records.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("profile", "entity_id")
+
+
+def profile_features(s1: DataFrame, targets: DataFrame, prefix4_cap: int, prefix6_cap: int) -> DataFrame:
+    """Features of all candidate pairs of profiles, with both sides' record counts ``n_a`` and ``n_b``."""
+    left, right = merge_profiles(with_profile(s1)), merge_profiles(with_profile(targets))
+    pairs = block_capped(left, right, prefix4_cap, prefix6_cap, counted=targets)
+    return score_pairs(pair_attributes(pairs, left, right, carried=("n",)))
+
+
+def true_profiles(truth: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFrame:
+    """Truth pairs as ``(record, profile of S1, profile of target)``."""
+    ours = with_profile(s1).select(F.col("entity_id").alias(S1_ID), F.col("profile").alias("_a"))
+    theirs = with_profile(targets).select(F.col("entity_id").alias(CANDIDATE_ID), F.col("profile").alias("_b"))
+    return (
+        truth.select(S1_ID, CANDIDATE_ID).distinct().join(ours, S1_ID).join(theirs, CANDIDATE_ID)
+        .select(F.col(S1_ID).alias("record"), F.col("_a").alias(S1_ID), F.col("_b").alias(CANDIDATE_ID))
+    )
+
+
+def label_profiles(features: DataFrame, true: DataFrame) -> DataFrame:
+    """Up to two rows per pair of profiles: its true and its other record pairs, counted in ``pairs``."""
+    hits = true.groupBy(S1_ID, CANDIDATE_ID).agg(F.count(F.lit(1)).alias("_true"))
+    n_true = F.coalesce(F.col("_true"), F.lit(0))
+    sides = F.array(
+        F.struct(F.lit(1).alias("label"), n_true.alias("pairs")),
+        F.struct(F.lit(0).alias("label"), (F.col("n_a") * F.col("n_b") - n_true).alias("pairs")),
+    )
+    return features.join(hits, [S1_ID, CANDIDATE_ID], "left").select(*features.columns, F.inline(sides)).filter("pairs > 0")
+
+
+def profile_macro_f05(scored: DataFrame, true: DataFrame, s1: DataFrame, threshold: Column) -> DataFrame:
+    """Mean F0.5 over the S1 records behind the scored profile pairs.
+
+    All records of a profile have equally many predicted pairs; their true
+    pairs are looked up one by one, as there are at most as many as in the truth.
+    """
+    chosen = F.col("match_probability") >= threshold
+    predicted = scored.groupBy(S1_ID).agg(
+        (F.sum(F.when(chosen, F.col("pairs")).otherwise(F.lit(0))) / F.max("n_a")).cast("bigint").alias("_predicted")
+    )
+    hits = (
+        true.join(scored.filter("label = 1").select(S1_ID, CANDIDATE_ID, chosen.alias("_chosen")), [S1_ID, CANDIDATE_ID])
+        .groupBy("record")
+        .agg(F.count(F.lit(1)).alias("_true"), F.count_if("_chosen").alias("_tp"))
+    )
+    records = with_profile(s1).select(F.col("entity_id").alias("record"), F.col("profile").alias(S1_ID))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    tp, fp, fn = zero("_tp"), F.col("_predicted") - zero("_tp"), zero("_true") - zero("_tp")
+    each = F.when((tp + fp + fn) == 0, F.lit(1.0)).otherwise(f05(tp, fp, fn))
+    return (
+        records.join(predicted, S1_ID)
+        .join(hits, "record", "left")
+        .agg(F.coalesce(F.avg(each), F.lit(0.0)).alias("entity_macro_f05"))
+    )
+
+
+# --- training and resolving --------------------------------------------------------------------
+
+
 def fit(
-    s1: DataFrame, targets: DataFrame, truth: DataFrame, prefix4_cap: int = PREFIX4_CAP,
-    prefix6_cap: int = PREFIX6_CAP, **params,
+    s1: DataFrame,
+    targets: DataFrame,
+    truth: DataFrame,
+    prefix4_cap: int = PREFIX4_CAP,
+    prefix6_cap: int = PREFIX6_CAP,
+    **params,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Model trained on the capped candidates of prepared tables, and its threshold record."""
-    pairs = block_capped(s1, targets, prefix4_cap, prefix6_cap)
-    features = stage(pair_feature_table(pairs, s1, targets, truth), "features")
-    model, validation = train_and_validate(features, **params)
-    return model, select_threshold(stage(validation, "validation"))
+    """Model trained on the capped candidates of prepared tables, and its threshold record.
+
+    Whole S1 profiles go to either side of the split, so copies of a record
+    never sit on both.
+    """
+    true = true_profiles(truth, s1, targets)
+    rows = stage(label_profiles(profile_features(s1, targets, prefix4_cap, prefix6_cap), true), "features")
+    train, validation = group_split(rows)
+    model = train_model(train, "pairs", **params)
+    scored = stage(score(model, validation), "validation")
+    best = stage(best_threshold(threshold_sweep(scored, "pairs")), "threshold")
+    return model, threshold_record(best, profile_macro_f05(scored, true, s1, best.select("threshold").scalar()))
 
 
-def _with_profile(df: DataFrame, *extra: str) -> DataFrame:
-    # Normalized text never holds the separator, so equal digests mean equal fields.
-    return df.withColumn("_profile", F.md5(F.concat_ws("\x1f", *extra, *_PROFILE)))
+def resolve_profiles(
+    s1: DataFrame,
+    targets: DataFrame,
+    model: PipelineModel,
+    threshold: float | Column = DEFAULT_THRESHOLD,
+    prefix4_cap: int = PREFIX4_CAP,
+    prefix6_cap: int = PREFIX6_CAP,
+) -> DataFrame:
+    """Matching pairs of profiles: the result in compact form, linear where copies match copies."""
+    return matched_pairs(score(model, profile_features(s1, targets, prefix4_cap, prefix6_cap)), threshold)
 
 
 def resolve_prepared(
@@ -48,37 +148,31 @@ def resolve_prepared(
     prefix4_cap: int = PREFIX4_CAP,
     prefix6_cap: int = PREFIX6_CAP,
 ) -> DataFrame:
-    """Match lists of prepared tables.
-
-    Records that agree in all normalized fields get the same candidates and
-    scores. They are merged into profiles first; blocking, scoring and list
-    building run once per profile, and the records come back by a join at the
-    end. A third of a table being copies of one record thus costs one profile.
-    Frequency caps still count records.
-    """
-    ours, theirs = _with_profile(s1), _with_profile(targets, "source")
-    left = ours.select(F.col("_profile").alias("entity_id"), *_PROFILE).distinct()
-    right = theirs.select(F.col("_profile").alias("entity_id"), "source", *_PROFILE).distinct()
-    pairs = block_capped(left, right, prefix4_cap, prefix6_cap, counted=targets)
-    scored = score(model, score_pairs(pair_attributes(pairs, left, right)))
-    members = theirs.select(F.col("_profile").alias(CANDIDATE_ID), F.col("entity_id").alias("_member"))
+    """Match lists of prepared tables; a list is built once per profile and then joined to its records."""
+    matched = resolve_profiles(s1, targets, model, threshold, prefix4_cap, prefix6_cap)
+    members = with_profile(targets).select(F.col("profile").alias(CANDIDATE_ID), F.col("entity_id").alias("_member"))
     lists = (
-        matched_pairs(scored, threshold)
-        .join(members, CANDIDATE_ID)
+        matched.join(members, CANDIDATE_ID)
         .groupBy(S1_ID)
         .agg(F.array_join(F.sort_array(F.collect_set("_member")), ",").alias("_ids"))
-        .withColumnRenamed(S1_ID, "_profile")
+        .withColumnRenamed(S1_ID, "profile")
     )
     return (
-        ours.select(F.col("entity_id").alias(S1_ID), "_profile")
-        .join(lists, "_profile", "left")
+        with_profile(s1)
+        .select(F.col("entity_id").alias(S1_ID), "profile")
+        .join(lists, "profile", "left")
         .select(S1_ID, F.coalesce("_ids", F.lit("")).alias("matched_entity_ids"))
     )
 
 
 def resolve(
-    s1: DataFrame, s2: DataFrame, s3: DataFrame, model: PipelineModel,
-    threshold: float | Column = DEFAULT_THRESHOLD, dialect: str = "ascii", **caps: int,
+    s1: DataFrame,
+    s2: DataFrame,
+    s3: DataFrame,
+    model: PipelineModel,
+    threshold: float | Column = DEFAULT_THRESHOLD,
+    dialect: str = "ascii",
+    **caps: int,
 ) -> DataFrame:
     """Raw entity tables to match lists with a trained model."""
     ours, theirs = prepare(s1, s2, s3, dialect)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from linkwell.operators import blocking, features, model, output
+from linkwell.operators import blocking, evaluate, features, model, output
 from linkwell.plans import pipeline, registry
 from linkwell.schema import CANDIDATE_ID, S1_ID
 from linkwell.sources import documents
@@ -34,6 +34,27 @@ def test_profiles_equal_record_level(world):
     assert got == want and any(got.values())
 
 
+def test_profile_metrics_equal_record_level(world):
+    """Counts and F0.5 over weighted profile pairs are those over all record pairs."""
+    raw, s1, targets, fitted, best = world
+    copies = registry.entities(s1.sparkSession, SMALL).withColumn(
+        "entity_id", F.explode(F.array(*[F.concat("entity_id", F.lit(s)) for s in ("", "b", "c")]))
+    )
+    truth = documents.truth_pairs(copies)
+    pairs = blocking.block_capped(s1, targets, *CAPS)
+    by_record = model.score(fitted, features.pair_feature_table(pairs, s1, targets, truth)).cache()
+    true = pipeline.true_profiles(truth, s1, targets)
+    labelled = pipeline.label_profiles(pipeline.profile_features(s1, targets, *CAPS), true)
+    by_profile = model.score(fitted, labelled).cache()
+    assert by_profile.count() < by_record.count() / 4
+    sweep = lambda df: sorted(map(tuple, df.collect()))
+    assert sweep(evaluate.threshold_sweep(by_profile, "pairs")) == sweep(evaluate.threshold_sweep(by_record))
+    assert model.class_weight(by_profile, "pairs").first() == model.class_weight(by_record).first()
+    for t in (0.0, 0.5, 0.7, 1.1):
+        macro = pipeline.profile_macro_f05(by_profile, true, s1, F.lit(t)).first()[0]
+        assert macro == pytest.approx(evaluate.entity_macro_f05(by_record, t).first()[0])
+
+
 def test_resolve_output_is_valid(world):
     raw, s1, targets, fitted, best = world
     found = pipeline.resolve(*raw, fitted, 0.5, prefix4_cap=CAPS[0], prefix6_cap=CAPS[1])
