@@ -3,7 +3,9 @@
 Every function takes the normalized S1 table and the normalized targets with
 their ``source`` column, and returns long candidate pairs. Entity ids must be
 unique. Rules are combined by making them disjoint, so the union needs no
-``distinct`` over all pairs.
+``distinct`` over all pairs. Small key tables, the keys beyond a cap and the hot
+keys of a join, are staged before the join that looks them up: the planner then
+knows their size and can spare the large side a shuffle.
 """
 
 from __future__ import annotations
@@ -16,12 +18,14 @@ from pyspark.sql import functions as F
 from linkwell.functions.text import name_prefix, name_tokens
 from linkwell.operators.skew import ROWS_PER_CELL, spread_join
 from linkwell.schema import CANDIDATE_ID, S1_ID
+from linkwell.session import stage
 
 # Frequency caps of the prefix rules and the token cap.
 PREFIX4_CAP = 500
 PREFIX6_CAP = 1000
 TOKEN_CAP = 200
 
+
 def union_targets(s2: DataFrame, s3: DataFrame) -> DataFrame:
     """S2 and S3 as one table with a ``source`` column: each rule is one join, not two."""
     return s2.withColumn("source", F.lit("S2")).unionByName(s3.withColumn("source", F.lit("S3")))
@@ -91,22 +95,28 @@ def block_exact_name(s1: DataFrame, targets: DataFrame, rows_per_cell: int = ROW
     return _pairs(joined)
 
 
-def admitting_rule(
-    targets: DataFrame, counted: DataFrame, prefix4_cap: int = PREFIX4_CAP, prefix6_cap: int = PREFIX6_CAP
-) -> DataFrame:
-    """Add ``_rule``: 4 or 6 for the prefix rule that admits a named target row, null if both keys are too common.
+def rule_exceptions(counted: DataFrame, prefix4_cap: int = PREFIX4_CAP, prefix6_cap: int = PREFIX6_CAP) -> DataFrame:
+    """Keys ``(source, country_norm, name_prefix6)`` that prefix 4 does not admit, with ``_exception``.
 
     Equal prefixes of six imply equal prefixes of four, so the longer prefix
-    only matters where the shorter one is beyond its cap. The caps count rows
-    of ``counted``; at most rows/cap keys are beyond a cap.
+    matters only where the shorter one is beyond its cap: ``_exception`` is 6
+    where the longer one is within its own cap, else 0. Both counts come from
+    one pass over ``counted``.
     """
-    out = _named(targets).withColumns({f"name_prefix{n}": name_prefix(F.col("name_norm"), n) for n in (4, 6)})
-    for n, cap in ((4, prefix4_cap), (6, prefix6_cap)):
-        beyond = prefix_key_counts(counted, n).filter(F.col("frequency") > cap).drop("frequency")
-        keys = ["source", "country_norm", f"name_prefix{n}"]
-        out = out.join(beyond.withColumn(f"_over{n}", F.lit(True)), keys, "left")
-    rule = F.when(F.col("_over4").isNull(), 4).when(F.col("_over6").isNull(), 6)
-    return out.withColumn("_rule", rule).drop("_over4", "_over6")
+    by6 = prefix_key_counts(counted, 6).withColumn("name_prefix4", F.substring("name_prefix6", 1, 4))
+    key4 = ["source", "country_norm", "name_prefix4"]
+    common4 = by6.groupBy(*key4).agg(F.sum("frequency").alias("_n")).filter(F.col("_n") > prefix4_cap)
+    return by6.join(common4, key4, "left_semi").select(
+        "source", "country_norm", "name_prefix6",
+        F.when(F.col("frequency") <= prefix6_cap, 6).otherwise(0).alias("_exception"),
+    )
+
+
+def admitting_rule(targets: DataFrame, exceptions: DataFrame) -> DataFrame:
+    """Add ``_rule``: 4 or 6 for the prefix rule that admits a named target row, 0 if both keys are too common."""
+    keyed = _named(targets).withColumn("name_prefix6", name_prefix(F.col("name_norm"), 6))
+    keys = ["source", "country_norm", "name_prefix6"]
+    return keyed.join(exceptions, keys, "left").withColumn("_rule", F.coalesce("_exception", F.lit(4))).drop("_exception")
 
 
 def block_prefix(
@@ -117,7 +127,7 @@ def block_prefix(
     right = _right(targets, "source", "country_norm", key)
     if cap is not None:
         # Keys beyond the cap are the few, at most rows/cap of them.
-        beyond = prefix_key_counts(targets, length).filter(F.col("frequency") > cap)
+        beyond = stage(prefix_key_counts(targets, length).filter(F.col("frequency") > cap), "beyond-cap")
         beyond = beyond.withColumnRenamed(f"name_prefix{length}", "_prefix")
         right = right.join(beyond, ["source", "country_norm", "_prefix"], "left_anti")
     left = _left(s1, "country_norm", key)
@@ -255,7 +265,8 @@ def block_capped(
     The caps count the rows of ``counted``, by default the targets themselves.
     """
     name = _key(0, F.col("name_norm"))
-    ruled = admitting_rule(targets, targets if counted is None else counted, prefix4_cap, prefix6_cap)
+    exceptions = rule_exceptions(targets if counted is None else counted, prefix4_cap, prefix6_cap)
+    ruled = admitting_rule(targets, stage(exceptions, "rule-exceptions"))
     admitted = [name, *[F.when(F.col("_rule") == n, _prefix_key(n)) for n in (4, 6)]]
     return _join_by_rules(s1, ruled, [name, _prefix_key(4), _prefix_key(6)], admitted, rows_per_cell)
 

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from linkwell.functions.idlist import parse_ids
 from linkwell.functions.text import name_prefix
-from linkwell.operators.blocking import PREFIX4_CAP, PREFIX6_CAP, admitting_rule, prefix_key_counts
+from linkwell.operators.blocking import PREFIX4_CAP, PREFIX6_CAP, admitting_rule, rule_exceptions
 from linkwell.schema import CANDIDATE_ID, S1_ID
+from linkwell.session import stage
 
 _P4, _P6 = ["country_norm", "name_prefix4"], ["country_norm", "name_prefix6"]
 
@@ -29,7 +30,8 @@ def _rule_of_target_names(targets: DataFrame, prefix4_cap: int, prefix6_cap: int
         .groupBy("source", "country_norm", "name_norm")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    return admitting_rule(names, targets, prefix4_cap, prefix6_cap)
+    exceptions = stage(rule_exceptions(targets, prefix4_cap, prefix6_cap), "rule-exceptions")
+    return stage(admitting_rule(names, exceptions).withColumns(_prefixes()), "ruled-names")
 
 
 def capped_candidate_counts(
@@ -44,10 +46,10 @@ def capped_candidate_counts(
     rules = _rule_of_target_names(targets, prefix4_cap, prefix6_cap)
     total = lambda keys, condition, name: rules.filter(condition).groupBy(*keys).agg(F.sum("_rows").alias(name))
     terms = [
+        (["country_norm", "name_norm"], F.col("_rule") > 0, "_twice"),
         (["name_norm"], F.lit(True), "_exact"),
         (_P4, F.col("_rule") == 4, "_by4"),
         (_P6, F.col("_rule") == 6, "_by6"),
-        (["country_norm", "name_norm"], F.col("_rule").isNotNull(), "_twice"),
     ]
     out = s1.groupBy("country_norm", "name_norm").agg(F.count(F.lit(1)).alias("n_s1")).withColumns(_prefixes())
     for keys, condition, name in terms:
@@ -147,17 +149,15 @@ def reached_by_capped_rules(
         F.col("country_norm").alias(f"_{side}_country"), *(["source"] if side == "t" else []),
     )
     sides = pairs.join(keys(s1, "s1", S1_ID), S1_ID).join(keys(targets, "t", CANDIDATE_ID), CANDIDATE_ID)
-    same_name = F.col("_s1_name") == F.col("_t_name")
-    same_country = F.col("_s1_country") == F.col("_t_country")
-    for n, cap in ((4, prefix4_cap), (6, prefix6_cap)):
-        beyond = (
-            prefix_key_counts(targets, n)
-            .filter(F.col("frequency") > cap)
-            .select("source", F.col("country_norm").alias("_t_country"), F.col(f"name_prefix{n}").alias(f"_key{n}"),
-                    F.lit(True).alias(f"_over{n}"))
-        )
-        sides = sides.withColumn(f"_key{n}", name_prefix(F.col("_t_name"), n)).join(
-            beyond, ["source", "_t_country", f"_key{n}"], "left"
-        )
-    by = lambda n: F.col(f"_over{n}").isNull() & (name_prefix(F.col("_s1_name"), n) == F.col(f"_key{n}"))
-    return sides.filter(same_name | (same_country & (by(4) | by(6)))).select(S1_ID, CANDIDATE_ID)
+    same = lambda n: name_prefix(F.col("_s1_name"), n) == name_prefix(F.col("_t_name"), n)
+    exceptions = stage(rule_exceptions(targets, prefix4_cap, prefix6_cap), "rule-exceptions").select(
+        "source", F.col("country_norm").alias("_t_country"), F.col("name_prefix6").alias("_key6"), "_exception"
+    )
+    rule = F.coalesce("_exception", F.lit(4))
+    by_prefix = (F.col("_s1_country") == F.col("_t_country")) & (((rule == 4) & same(4)) | ((rule == 6) & same(6)))
+    return (
+        sides.withColumn("_key6", name_prefix(F.col("_t_name"), 6))
+        .join(exceptions, ["source", "_t_country", "_key6"], "left")
+        .filter((F.col("_s1_name") == F.col("_t_name")) | by_prefix)
+        .select(S1_ID, CANDIDATE_ID)
+    )

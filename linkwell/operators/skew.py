@@ -5,30 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkwell.session import shuffle_tasks, stage
+
 ROWS_PER_CELL = 2_000
 
 
-def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    left_id: str,
-    right_id: str,
-    rows_per_cell: int = ROWS_PER_CELL,
-) -> DataFrame:
-    """Inner equi-join on ``on`` in which no task meets an unbounded key.
+def hot_keys(left: DataFrame, right: DataFrame, on: list[str], rows_per_cell: int) -> DataFrame:
+    """Keys on both sides with more than ``rows_per_cell`` rows on one, and into how many cells to cut them.
 
-    Keys with more than ``rows_per_cell`` rows on a side that also occur on the
-    other are cut into a grid: each left row belongs to one grid row and is
-    copied to that row's cells, each right row to one grid column. Every pair
-    meets in exactly one cell, so the result is the plain join's. Keys below
-    the limit are joined as they are. Sizes come from one map-side combined count, and the
-    table of hot keys holds at most rows/``rows_per_cell`` keys per side; the
-    planner broadcasts it only if its measured size allows.
+    One map-side combined count over both sides; at most rows/``rows_per_cell``
+    keys per side can be hot.
     """
     one, none = F.lit(1), F.lit(0)
     cut = lambda n: F.ceil(F.col(n) / rows_per_cell).cast("int")
-    hot = (
+    return (
         left.select(*on, one.alias("_ln"), none.alias("_rn"))
         .unionByName(right.select(*on, none.alias("_ln"), one.alias("_rn")))
         .groupBy(*on)
@@ -36,6 +26,33 @@ def spread_join(
         .filter((F.least("_ln", "_rn") > 0) & (F.greatest("_ln", "_rn") > rows_per_cell))
         .select(*on, cut("_ln").alias("_rows"), cut("_rn").alias("_cols"))
     )
+
+
+def spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    left_id: str,
+    right_id: str,
+    rows_per_cell: int = ROWS_PER_CELL,
+) -> DataFrame:
+    """Inner equi-join on ``on`` in which no task meets an unbounded key.
+
+    Hot keys are counted first. Without any, this is the plain join, one
+    shuffle per side. Otherwise each hot key is cut into a grid: a left row
+    belongs to one grid row and is copied to that row's cells, a right row to
+    one grid column. Every pair meets in exactly one cell, so the result is the
+    plain join's, and a copy is made for each ``rows_per_cell`` pairs at most.
+    The table of hot keys is staged, so the planner knows its true size: small
+    ones are broadcast and neither side is shuffled for the lookup, large ones
+    are joined.
+    """
+    tasks = shuffle_tasks(left.sparkSession)
+    # A block's output outgrows its input, so small inputs must not be merged into few tasks.
+    meet = lambda l, r, keys: l.repartition(tasks, *keys).join(r.repartition(tasks, *keys), keys)
+    hot = stage(hot_keys(left, right, on, rows_per_cell), "hot-keys")
+    if hot.isEmpty():
+        return meet(left, right, on)
     bucket = lambda c, n: F.pmod(F.xxhash64(c), F.coalesce(n, F.lit(1))).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(n, F.lit(1)) - 1))
     spread_left = (
@@ -48,7 +65,4 @@ def spread_join(
         .withColumns({"_j": bucket(right_id, F.col("_cols")), "_i": every(F.col("_rows"))})
         .drop("_rows", "_cols")
     )
-    cell = [*on, "_i", "_j"]
-    # A block's output outgrows its input, so small inputs must not be merged into few tasks.
-    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return spread_left.repartition(tasks, *cell).join(spread_right.repartition(tasks, *cell), cell).drop("_i", "_j")
+    return meet(spread_left, spread_right, [*on, "_i", "_j"]).drop("_i", "_j")

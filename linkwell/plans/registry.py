@@ -65,7 +65,7 @@ def sides(spark: SparkSession, sf_dir: str, dialect: str = "ascii") -> tuple[Dat
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.truth_pairs(entities(spark, sf_dir))
+    return _once(spark, sf_dir, "truth", lambda: documents.truth_pairs(entities(spark, sf_dir)))
 
 
 def capped_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -444,7 +444,8 @@ def validate_output(spark, sf_dir):
     s1, s2, s3 = documents.split_sources(every)
     listed = documents.truth_lists(s1, truth(spark, sf_dir)).filter(F.col("matched_entity_ids") != "")
     lists = blocking.candidate_lists(sides(spark, sf_dir, "unicode")[0], token_pairs(spark, sf_dir))
-    return output.validate_output(listed, lists, s1, s2, s3.filter(F.col("country").isNotNull()))
+    known = s3.filter(F.col("country").isNotNull())
+    return output.validate_output(stage(listed, "results"), stage(lists, "lists"), s1, s2, known)
 
 
 @query
