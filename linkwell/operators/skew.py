@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkwell.session import shuffle_tasks, stage
+from linkwell.session import shuffle_tasks, stage_counted
 
 ROWS_PER_CELL = 2_000
 
@@ -50,8 +50,8 @@ def spread_join(
     tasks = shuffle_tasks(left.sparkSession)
     # A block's output outgrows its input, so small inputs must not be merged into few tasks.
     meet = lambda l, r, keys: l.repartition(tasks, *keys).join(r.repartition(tasks, *keys), keys)
-    hot = stage(hot_keys(left, right, on, rows_per_cell), "hot-keys")
-    if hot.isEmpty():
+    hot, n = stage_counted(hot_keys(left, right, on, rows_per_cell), "hot-keys")
+    if n == 0:
         return meet(left, right, on)
     bucket = lambda c, n: F.pmod(F.xxhash64(c), F.coalesce(n, F.lit(1))).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(n, F.lit(1)) - 1))

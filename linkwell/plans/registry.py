@@ -454,5 +454,6 @@ def resolve_end_to_end(spark, sf_dir):
     every = entities(spark, sf_dir)
     ours, theirs = pipeline.prepare(*documents.split_sources(every))
     fitted, best = pipeline.fit(ours, theirs, truth(spark, sf_dir), PREFIX4_CAP, PREFIX6_CAP, **TREES)
-    limit = stage(best, "threshold").select("threshold").scalar()
-    return pipeline.resolve_prepared(ours, theirs, fitted, limit, PREFIX4_CAP, PREFIX6_CAP)
+    return pipeline.resolve_prepared(
+        ours, theirs, fitted, best.select("threshold").scalar(), PREFIX4_CAP, PREFIX6_CAP
+    )

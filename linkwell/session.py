@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -32,6 +33,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/linkwell/{name}-{uuid.uuid4().hex}"
 
 
+def stage_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
+    """:func:`stage`, and the number of rows, counted while they are written."""
+    seen = Observation()
+    staged = stage(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return staged, seen.get["rows"]
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a table to the shared folder and read it back.
 
