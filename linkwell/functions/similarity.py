@@ -1,9 +1,9 @@
 """String-similarity scores of two columns.
 
 Set measures are built-in expressions. The three measures that need an alignment
-(whole texts, best window, word sets) share one Arrow exchange per pair table: a batch is scored with array operations over all its pairs at once,
-64 characters per machine word, and only needles beyond 64 characters fall back
-to one pair at a time.
+(whole texts, best window, word sets) share one Arrow exchange per pair table: a
+batch is scored with array operations over all its pairs at once, 64 characters
+of the shorter text per machine word.
 """
 
 from __future__ import annotations
@@ -38,69 +38,50 @@ def _codes(texts: list[str], width: int, filler: int) -> np.ndarray:
     return out
 
 
-def _positions(needles: list[str], others: list[str], width: int) -> np.ndarray:
-    """Bit i of cell (row, j) is set where character j of the other text equals needle character i."""
+def _positions(needles: list[str], others: list[str], width: int) -> list[np.ndarray]:
+    """Per needle word of 64 characters: bit i of cell (row, j) is set where other[j] equals the word's character i."""
     n, filled = max(len(t) for t in needles), max(len(t) for t in others)
     left = _codes(needles, n, 0xFFFFFFFF)
     right = _codes(others, filled, 0xFFFFFFFE)
-    hits = np.zeros((len(needles), width), dtype=np.uint64)
-    used = hits[:, :filled]
+    hits = [np.zeros((len(needles), width), dtype=np.uint64) for _ in range(0, n, _WORD)]
     for i in range(n):
-        np.bitwise_or(used, np.uint64(1 << i), out=used, where=right == left[:, i : i + 1])
+        used = hits[i // _WORD][:, :filled]
+        np.bitwise_or(used, np.uint64(1 << (i % _WORD)), out=used, where=right == left[:, i : i + 1])
     return hits
 
 
-def _step(state: np.ndarray, hits: np.ndarray) -> np.ndarray:
-    """One column of the bit-parallel LCS recurrence; cleared bits count matched characters."""
-    both = state & hits
-    rest = state - both
-    both += state
-    both |= rest
-    return both
-
-
-def _matched(state: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(~state).astype(np.int64)
-
-
-def _lcs_long(a: str, b: str) -> int:
-    full = (1 << len(a)) - 1
-    where: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        where[ch] = where.get(ch, 0) | (1 << i)
-    state = full
-    for ch in b:
-        both = state & where.get(ch, 0)
-        state = ((state + both) | (state - both)) & full
-    return len(a) - state.bit_count()
-
-
-def _best_window_long(needle: str, other: str) -> float:
-    m, n = len(needle), len(other)
-    full = (1 << m) - 1
-    where: dict[str, int] = {}
-    for i, ch in enumerate(needle):
-        where[ch] = where.get(ch, 0) | (1 << i)
-    masks = [where.get(ch, 0) for ch in other]
-    best = 0.0
-    for start in range(n):
-        state = full
-        stop = min(start + m, n)
-        for j in range(start, stop):
-            both = state & masks[j]
-            state = ((state + both) | (state - both)) & full
-            if start == 0 or j == stop - 1:
-                size = m + j + 1 - start
-                best = max(best, 2.0 * (m - state.bit_count()) / size)
-    return best
+def _ones(hits: list[np.ndarray], shape: tuple[int, ...]) -> list[np.ndarray]:
+    return [np.full(shape, ~np.uint64(0), dtype=np.uint64) for _ in hits]
+
+
+def _step(state: list[np.ndarray], hits: list[np.ndarray]) -> None:
+    """One column of the bit-parallel LCS recurrence, carrying from word to word; cleared bits count matches."""
+    carry = None
+    for w, (s, h) in enumerate(zip(state, hits)):
+        both = s & h
+        rest = s - both
+        total = both + s
+        more = w + 1 < len(state)
+        over = total < both if more else None
+        if carry is not None:
+            total += carry
+            if more:
+                over |= total < carry
+        total |= rest
+        state[w] = total
+        carry = over.astype(np.uint64) if more else None
+
+
+def _matched(state: list[np.ndarray]) -> np.ndarray:
+    return sum(np.bitwise_count(~s).astype(np.int64) for s in state)
 
 
 def _lcs_block(needles: list[str], others: list[str]) -> np.ndarray:
     width = max(len(t) for t in others)
     hits = _positions(needles, others, width)
-    state = np.full(len(needles), ~np.uint64(0), dtype=np.uint64)
+    state = _ones(hits, (len(needles),))
     for j in range(width):
-        state = _step(state, hits[:, j])
+        _step(state, [h[:, j] for h in hits])
     return _matched(state)
 
 
@@ -115,72 +96,63 @@ def _window_block(needles: list[str], others: list[str]) -> np.ndarray:
     n = np.array([len(t) for t in others], dtype=np.int64)
     longest, width = int(m.max()), int(n.max())
     hits = _positions(needles, others, width + longest)
-    state = np.full((len(needles), width), ~np.uint64(0), dtype=np.uint64)
+    state = _ones(hits, (len(needles), width))
     best = np.zeros(len(needles))
     for k in range(longest):
-        state = _step(state, hits[:, k : k + width])
+        _step(state, [h[:, k : k + width] for h in hits])
         done = k + 1
-        prefix = 2.0 * _matched(state[:, 0]) / (m + done)
+        prefix = 2.0 * _matched([s[:, 0] for s in state]) / (m + done)
         best = np.where(done < m, np.maximum(best, prefix), best)
         full = np.flatnonzero(m == done)
         if full.size:
             starts = np.arange(width)[None, :]
             sizes = np.minimum(done, n[full, None] - starts)
             valid = sizes > 0
-            scores = 2.0 * _matched(state[full]) / (done + np.where(valid, sizes, 1))
+            scores = 2.0 * _matched([s[full] for s in state]) / (done + np.where(valid, sizes, 1))
             best[full] = np.maximum(best[full], np.where(valid, scores, 0.0).max(axis=1))
     return best
 
 
-def _in_blocks(needles: list[str], others: list[str], block, cost, out: np.ndarray, rows: list[int]) -> None:
+def _in_blocks(needles: list[str], others: list[str], block, out: np.ndarray, rows: list[int]) -> None:
     """Score rows in blocks of similar length so that padding and memory stay small."""
-    rows = sorted(rows, key=lambda r: (len(others[r]), len(needles[r])))
+    m, n = ([len(texts[r]) for r in rows] for texts in (needles, others))
+    parts = [-(-size // _WORD) for size in m]
+    cells = [w * (x + y) for w, x, y in zip(parts, m, n)]
+    order = sorted(range(len(rows)), key=lambda k: (parts[k], n[k], m[k]))
     at = 0
-    while at < len(rows):
-        per_row = max(1, cost(rows[at]))
-        size = max(1, min(4096, _CELLS // per_row))
-        while size > 1 and size * cost(rows[min(at + size, len(rows)) - 1]) > 2 * _CELLS:
-            size //= 2
-        part = rows[at : at + size]
-        out[part] = block([needles[r] for r in part], [others[r] for r in part])
-        at += size
+    while at < len(order):
+        first, stop = parts[order[at]], at + 1
+        while stop < len(order) and parts[order[stop]] == first and (stop - at) * cells[order[stop]] < _CELLS:
+            stop += 1
+        block_rows = [rows[k] for k in order[at:stop]]
+        out[block_rows] = block([needles[r] for r in block_rows], [others[r] for r in block_rows])
+        at = stop
 
 
 def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
     """Length of the longest common subsequence of each pair."""
     shorter = [x if len(x) <= len(y) else y for x, y in zip(a, b)]
     longer = [y if len(x) <= len(y) else x for x, y in zip(a, b)]
-    out = np.zeros(len(shorter), dtype=np.int64)
-    rows = []
-    for r, (x, y) in enumerate(zip(shorter, longer)):
-        if x == y:
-            out[r] = len(x)
-        elif len(x) > _WORD:
-            out[r] = _lcs_long(x, y)
-        elif x:
-            rows.append(r)
-    _in_blocks(shorter, longer, _lcs_block, lambda r: len(longer[r]), out, rows)
+    out = np.array([len(x) if x == y else 0 for x, y in zip(a, b)], dtype=np.int64)
+    rows = [r for r, (x, y) in enumerate(zip(shorter, longer)) if x and x != y]
+    _in_blocks(shorter, longer, _lcs_block, out, rows)
     return out
 
 
 def best_windows(a: list[str], b: list[str]) -> np.ndarray:
     """Best alignment of the shorter text inside the longer one, 0..1 per pair."""
-    out = np.zeros(len(a))
+    out = np.array([1.0 if x == y else 0.0 for x, y in zip(a, b)])
     needles, others, owner = [], [], []
     for r, (x, y) in enumerate(zip(a, b)):
-        if x == y:
-            out[r] = 1.0
-        elif x and y:
+        if x and y and x != y:
             short, long = (x, y) if len(x) <= len(y) else (y, x)
-            for needle, other in [(short, long)] + ([(long, short)] if len(x) == len(y) else []):
-                if len(needle) > _WORD:
-                    out[r] = max(out[r], _best_window_long(needle, other))
-                else:
-                    needles.append(needle)
-                    others.append(other)
-                    owner.append(r)
+            # Texts of equal length also swap roles: their prefixes and suffixes differ.
+            for needle, other in [(short, long), (long, short)][: 2 if len(x) == len(y) else 1]:
+                needles.append(needle)
+                others.append(other)
+                owner.append(r)
     scores = np.zeros(len(needles))
-    _in_blocks(needles, others, _window_block, lambda r: len(others[r]) + 64, scores, list(range(len(needles))))
+    _in_blocks(needles, others, _window_block, scores, list(range(len(needles))))
     np.maximum.at(out, np.array(owner, dtype=np.int64), scores)
     return out
 
