@@ -132,3 +132,11 @@ def test_reached_by_keys(random_sides, plain, caps):
         targets.select(F.col("entity_id").alias(CANDIDATE_ID)), F.lit(True)
     )
     assert as_set(coverage.reached_by_capped_rules(every, s1, targets, *caps)) == brute.capped(*plain, *caps)
+
+
+def test_empty_sides(random_sides):
+    s1, targets = random_sides
+    for a, b in ((s1.limit(0), targets), (s1, targets.filter(F.lit(False))), (s1.filter(F.lit(False)), targets.limit(0))):
+        assert blocking.block_index(a, b).count() == 0
+        assert blocking.block_capped(a, b, 1, 1).count() == 0
+        assert coverage.candidate_coverage(coverage.capped_candidate_counts(a, b)).first().total_pairs == 0
