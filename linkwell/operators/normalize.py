@@ -47,6 +47,11 @@ def quality_stats(df: DataFrame) -> DataFrame:
     )
 
 
+def repeated_ids(df: DataFrame) -> DataFrame:
+    """Entity ids that more than one row has, with the number of rows."""
+    return df.groupBy("entity_id").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
+
+
 def sample_rows(df: DataFrame, n: int = 10) -> DataFrame:
     """The first ``n`` records by id, raw next to normalized."""
     columns = [

@@ -60,9 +60,14 @@ def candidate_stats(spark: SparkSession, s1: str, s2: str, s3: str) -> DataFrame
 def make_features(
     spark: SparkSession, s1: str, s2: str, s3: str, candidates: str, output: str, ground_truth: str = ""
 ) -> None:
+    """Features of the candidates, labelled if a truth table is given; entity ids must be unique."""
     truth = files.read_tsv(spark, ground_truth, MATCH_LISTS) if ground_truth else None
     lists = files.read_tsv(spark, candidates, CANDIDATE_LISTS)
-    files.write_parquet(features.feature_table(lists, *_sides(spark, s1, s2, s3), truth), output)
+    ours, theirs = _sides(spark, s1, s2, s3)
+    for side in (ours, theirs):
+        if not normalize.repeated_ids(side).isEmpty():
+            raise ValueError("entity_id must be unique")
+    files.write_parquet(features.feature_table(lists, ours, theirs, truth), output)
 
 
 def train(spark: SparkSession, train: str, model_dir: str, max_iter: int = 500, max_depth: int = 7) -> None:

@@ -18,6 +18,10 @@ def test_jobs_end_to_end(spark, tmp_path):
     main(["block", *sides, "--output", f"{d}/candidates.tsv", "--strategy", "index"])
     main(["make-features", *sides, "--candidates", f"{d}/candidates.tsv", "--output", f"{d}/features",
           "--ground-truth", f"{d}/truth.tsv"])
+    spark.read.parquet(f"{d}/s2").union(spark.read.parquet(f"{d}/s2").limit(1)).write.parquet(f"{d}/twice")
+    with pytest.raises(ValueError, match="unique"):
+        main(["make-features", "--s1", f"{d}/s1", "--s2", f"{d}/twice", "--s3", f"{d}/s3", "--candidates",
+              f"{d}/candidates.tsv", "--output", f"{d}/never"])
     main(["train", "--train", f"{d}/features", "--model-dir", f"{d}/model", "--max-iter", "2", "--max-depth", "2"])
     main(["score", "--input", f"{d}/features", "--model-path", f"{d}/model/model", "--output", f"{d}/scores"])
     main(["choose-threshold", "--predictions", f"{d}/model/validation_predictions.parquet", "--output", f"{d}/threshold"])

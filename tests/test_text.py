@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkwell.functions import idlist, text
-from linkwell.operators.normalize import normalize_entities, quality_stats, sample_rows, source_row_counts
+from linkwell.operators.normalize import normalize_entities, quality_stats, repeated_ids, sample_rows, source_row_counts
 
 
 def apply(spark, make, values):
@@ -75,5 +75,6 @@ def test_reports(spark):
         "total_rows": 3, "empty_names": 2, "empty_addresses": 2, "empty_countries": 2,
     }
     assert [r.entity_id for r in sample_rows(df, 2).collect()] == ["S1-1", "S1-2"]
+    assert [tuple(r) for r in repeated_ids(df.union(df.filter("entity_id = 'S1-2'"))).collect()] == [("S1-2", 2)]
     counts = source_row_counts({"S1": df, "S2": df.limit(0)}).collect()
     assert {r.source: r.row_count for r in counts} == {"S1": 3, "S2": 0}
