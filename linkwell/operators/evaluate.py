@@ -61,9 +61,10 @@ def entity_macro_f05(scored: DataFrame, threshold: float | Column) -> DataFrame:
 def threshold_sweep(scored: DataFrame, pairs: str | None = None) -> DataFrame:
     """Pair-level metrics at each of the 46 thresholds from one pass over the pairs.
 
-    A row stands for one pair, or for as many as its column ``pairs`` says. A pair counts at every threshold up to its probability, so it falls into
-    one bucket, the number of thresholds it reaches; running sums over the 47
-    bucket totals give the counts at each threshold.
+    A row stands for one pair, or for as many as its column ``pairs`` says. A
+    pair counts at every threshold up to its probability, so it falls into one
+    bucket, the number of thresholds it reaches; running sums over the 47 bucket
+    totals give the counts at each threshold.
     """
     reached = sum(((F.col("match_probability") >= F.lit(t)).cast("int") for t in THRESHOLDS), F.lit(0))
     spark = scored.sparkSession
