@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linkwell.llm import quality
+from linkwell.llm import pieces, quality, sharding
 from linkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +28,20 @@ def op6_distribution_divergence(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "char_distance", "word_distance",
     )
+
+
+@query
+def op5_jump_hash_shards(spark, sf_dir):
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8, grown=9)
+
+
+@query
+def op7_sentencepiece_agenda(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pieces.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return done.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
