@@ -219,7 +219,7 @@ class MergeModel:
             text = joined.decode("utf-8")
         except UnicodeDecodeError:
             text = "".join(self._runs(ids))
-        return text[1:] if text.startswith(" ") and ids[0] != self.unknown else text
+        return text[1:] if text.startswith(" ") and ids[0] != self.unknown and not self.is_byte[ids[0]] else text
 
     def _runs(self, ids: list[int]) -> Iterator[str]:
         run = b""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwell.llm import pieces, quality, sharding
+from linkwell.llm import exact_dedup, pieces, quality, sharding
 from linkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,16 @@ def op7_sentencepiece_agenda(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op3_streaming_exact_dedup(spark, sf_dir):
+    return exact_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet").withColumnRenamed("digest", "text_sha256")
+
+
+SQL["op3_streaming_exact_dedup"] = """
+    SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
+           count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
+           doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept,
+           sha256(coalesce(text, '')) AS text_sha256
+    FROM documents"""
