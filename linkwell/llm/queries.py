@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwell.llm import exact_dedup, pieces, quality, sharding
+from linkwell.llm import exact_dedup, pieces, quality, sharding, warc
 from linkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,19 @@ SQL["op3_streaming_exact_dedup"] = """
            doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept,
            sha256(coalesce(text, '')) AS text_sha256
     FROM documents"""
+
+
+@query
+def op8_warc_members(spark, sf_dir):
+    archives = warc.archive_pages(spark, table(spark, sf_dir, "pages"))
+    return warc.read_back(archives).drop("archive", "offset")
+
+
+SQL["op8_warc_members"] = """
+    WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+         f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first
+               FROM p)
+    SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+    FROM f"""
