@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwell.llm import exact_dedup, pieces, quality, sharding, warc
+from linkwell.llm import exact_dedup, minhash, pieces, quality, sharding, warc
 from linkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +23,7 @@ def query(f: Query) -> Query:
 
 @query
 def op6_distribution_divergence(spark, sf_dir):
-    judged = quality.quality(table(spark, sf_dir, "documents"))
+    judged = quality.quality(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "char_distance", "word_distance",
@@ -74,3 +74,8 @@ SQL["op8_warc_members"] = """
            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
            CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
     FROM f"""
+
+
+@query
+def op9_minhash_odd_sketch(spark, sf_dir):
+    return minhash.components(table(spark, sf_dir, "documents"))
