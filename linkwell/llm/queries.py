@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwell.llm import exact_dedup, minhash, pieces, quality, sharding, warc
-from linkwell.llm.common import table
+from linkwell.llm import exact_dedup, line_dedup, minhash, pieces, quality, sharding, warc
+from linkwell.llm.common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +79,27 @@ SQL["op8_warc_members"] = """
 @query
 def op9_minhash_odd_sketch(spark, sf_dir):
     return minhash.components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_winnowed_line_dedup(spark, sf_dir):
+    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(text_of().cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL["op4_winnowed_line_dedup"] = r"""
+    WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                      unnest(generate_series(1, len(string_split(coalesce(text, ''), chr(10))))) AS j FROM documents),
+         w AS (SELECT *, row_number() OVER d AS i, lead(line) OVER d AS after
+               FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') WINDOW d AS (PARTITION BY doc_id ORDER BY j)),
+         r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY line, after ORDER BY doc_id, i) > 1 AS again
+               FROM w WHERE after IS NOT NULL),
+         g AS (SELECT doc_id, i FROM r WHERE again UNION SELECT doc_id, i + 1 FROM r WHERE again),
+         n AS (SELECT w.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+                      count(g.i) FILTER (b.i IS NULL) AS n_runs
+               FROM w LEFT JOIN g USING (doc_id, i) LEFT JOIN g b ON b.doc_id = g.doc_id AND b.i = g.i - 1 GROUP BY 1),
+         k AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.j) FILTER (g.i IS NULL) AS kept
+               FROM l LEFT JOIN w USING (doc_id, j) LEFT JOIN g ON g.doc_id = w.doc_id AND g.i = w.i GROUP BY 1)
+    SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)"""
