@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwell.llm import exact_dedup, line_dedup, minhash, pieces, quality, sharding, warc
+from linkwell.llm import exact_dedup, line_dedup, minhash, packing, pieces, quality, sharding, warc
 from linkwell.llm.common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +103,9 @@ SQL["op4_winnowed_line_dedup"] = r"""
     SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
            sha256(coalesce(kept, '')) AS kept_sha256
     FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)"""
+
+
+@query
+def op2_bm25_packing(spark, sf_dir):
+    tokens = packing.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(tokens).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
