@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwell.llm import exact_dedup, line_dedup, minhash, packing, pieces, quality, sharding, warc
+from linkwell.llm import exact_dedup, line_dedup, minhash, packing, pieces, quality, sharding, suffix_dedup, warc
 from linkwell.llm.common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +109,9 @@ SQL["op4_winnowed_line_dedup"] = r"""
 def op2_bm25_packing(spark, sf_dir):
     tokens = packing.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(tokens).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op10_suffix_array_dedup(spark, sf_dir):
+    done = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
