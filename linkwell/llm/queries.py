@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwell.llm import exact_dedup, line_dedup, minhash, packing, pieces, quality, sharding, suffix_dedup, warc
+from linkwell.llm import exact_dedup, line_dedup, minhash, packing, pieces, quality, sharding, suffix_dedup, toxicity, warc
 from linkwell.llm.common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +115,10 @@ def op2_bm25_packing(spark, sf_dir):
 def op10_suffix_array_dedup(spark, sf_dir):
     done = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+@query
+def op1_factorization_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, machine).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
