@@ -11,8 +11,8 @@ all others are decided on the full sets.
 Buckets never emit all their pairs. In each round every unresolved bucket names
 hubs, and only members outside a hub's component are compared with it. A hub has
 then met its whole bucket and leaves it. A bucket is resolved when all members
-left in it belong to one component; the number of hubs doubles from round to
-round. Every pair of a bucket is thus either decided or within a component, as
+left in it belong to one component; the number of hubs grows fourfold from round
+to round. Every pair of a bucket is thus either decided or within a component, as
 if all had been compared, while a group of near copies costs a row for each.
 
 Bands of four samples, twenty of them, miss a pair of similarity 0.85 with
@@ -38,9 +38,9 @@ from linkwell.llm.common import text_of
 from linkwell.session import stage
 
 SHINGLE = 5
-BANDS, BAND_ROWS, SAMPLES = 20, 4, 128
-SKETCH_WORDS = 8
-SLACK = 0.3
+BANDS, BAND_ROWS, SAMPLES = 20, 4, 256
+SKETCH_WORDS = 16
+SLACK = 0.14
 BROADCAST_IDS = 1_000_000
 CHUNK_BYTES = 1 << 20
 
@@ -236,21 +236,27 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets share at least ``percent`` of their union."""
-    cut = most_odd_bits(percent / 100)
-    side = lambda s: nodes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sketch").alias(f"s_{s}"))
-    differ = sum((F.bit_count(F.get("s_a", F.lit(i)).bitwiseXOR(F.get("s_b", F.lit(i)))) for i in range(SKETCH_WORDS)), F.lit(0))
-    near = (
-        pairs.join(side("a"), "a").join(side("b"), "b")
-        .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        .filter(differ <= cut)
-        .select("a", "b", "n_a", "n_b")
-    )
+def _near(pair: DataFrame, hub: DataFrame, percent: int) -> DataFrame:
+    """Members and hubs of a bucket, of different components, whose sizes and sketches allow a link: distinct (a, b).
+
+    The comparison is a condition of the join, so only pairs that pass it become rows.
+    """
+    differ = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("h_sketch", F.lit(i)))) for i in range(SKETCH_WORDS)), F.lit(0))
+    sizes = 100 * F.least("n_shingles", "h_size") >= percent * F.greatest("n_shingles", "h_size")
+    met = pair.join(
+        hub.toDF("h_bucket", "h_node", "h_component", "h_size", "h_sketch"),
+        (F.col("bucket") == F.col("h_bucket")) & (F.col("component") != F.col("h_component")) & sizes
+        & (differ <= most_odd_bits(percent / 100)),
+    )
+    return met.select(F.least("node", "h_node").alias("a"), F.greatest("node", "h_node").alias("b")).distinct()
+
+
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets share at least ``percent`` of their union."""
     hashes = lambda s: sets.select(F.col("node").alias(s), F.col("hashes").alias(f"h_{s}"))
-    shared = F.size(F.array_intersect("h_a", "h_b"))
-    whole = near.join(hashes("b"), "b").join(hashes("a"), "a").withColumn("shared", shared)
-    return whole.filter(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
+    shared, size = F.size(F.array_intersect("h_a", "h_b")), F.size("h_a") + F.size("h_b")
+    whole = pairs.join(hashes("b"), "b").join(hashes("a"), "a").withColumns({"shared": shared, "size": size})
+    return whole.filter(100 * F.col("shared") >= percent * (F.col("size") - F.col("shared"))).select("a", "b")
 
 
 def components(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -281,14 +287,10 @@ def components(docs: DataFrame, percent: int = 85) -> DataFrame:
             break
         part = F.pmod(F.xxhash64("node"), F.lit(hubs)).alias("part")
         chosen = stage(live.groupBy("bucket", part).agg(F.min(F.struct("node", "component")).alias("hub")).select("bucket", "hub.*"), "hubs")
-        theirs = chosen.select("bucket", F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-        pairs = (
-            live.join(theirs, "bucket")
-            .filter("component != hub_component")
-            .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-            .distinct()
+        drawn = lambda x: x.select("bucket", "node", "component").join(near, "node").select(
+            "bucket", "node", "component", "n_shingles", "sketch"
         )
-        links = stage(_links(pairs, near, sets, percent), "links")
+        links = stage(_links(_near(drawn(live), drawn(chosen), percent), sets, percent), "links")
         ends = links
         if labels is not None:
             of = lambda s: labels.select(F.col("node").alias(s), F.col("component").alias(f"c_{s}"))
@@ -304,7 +306,7 @@ def components(docs: DataFrame, percent: int = 85) -> DataFrame:
             fresh = found.join(labels, "node", "left_anti")
             labels = stage(kept.unionByName(fresh), "labels")
         members = stage(live.join(chosen, ["bucket", "node"], "left_anti").select("bucket", "node"), "members")
-        hubs *= 2
+        hubs *= 4
     base = nodes.select(*SET, "node")
     if labels is not None:
         base = base.join(labels, "node", "left").select(*SET, F.coalesce("component", "node").alias("node"))
