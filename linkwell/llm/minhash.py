@@ -317,3 +317,19 @@ def components(docs: DataFrame, percent: int = 85) -> DataFrame:
     return known.unionByName(alone).select(
         "doc_id", "n_shingles", F.col("first_id").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("first_id")).alias("kept")
     )
+
+
+def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """The rows of ``docs`` but those linked to one of lesser id, or of equal id earlier in the table. Runs jobs.
+
+    Rows are told apart by number, so repeated ids and null ones, which come
+    first, are documents like others. Rows without words stay.
+    """
+    numbered = [F.monotonically_increasing_id().alias("row"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]]
+    rows = stage(docs.select(*numbered), "rows")
+    name = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    ids = F.struct(F.col(name["doc_id"]).alias("id"), "row").alias("doc_id")
+    found = components(rows.select(ids, F.col(name["text"]).alias("text")), percent)
+    gone = stage(found.filter(~F.col("kept")).select(F.col("doc_id.row").alias("row")), "gone")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone  # 8 bytes a row
+    return rows.join(gone, "row", "left_anti").select(*[F.col(v).alias(c) for c, v in name.items()])
