@@ -192,9 +192,9 @@ def quality(
     odd = ((F.col("_q_length") >= MIN_CHARS_JUDGED) & (F.col("char_distance") > max_char_distance)) | (
         (F.col("n_words") >= MIN_WORDS_JUDGED) & (F.col("word_distance") > max_word_distance)
     )
-    out = judged.select(*inputs.values(), *names, "char_distance", "word_distance", (~F.col("base_failed") & ~odd).alias("kept"))
-    clear = {v: c for c, v in inputs.items() if c not in out.columns}
-    return out.drop(*[v for v in inputs.values() if v not in clear]).withColumnsRenamed(clear)
+    made = {**{n: F.col(n) for n in names}, "char_distance": F.col("char_distance"), "word_distance": F.col("word_distance")}
+    made["kept"] = ~F.col("base_failed") & ~odd
+    return judged.select(*[F.col(v).alias(c) for c, v in inputs.items() if c not in made], *[e.alias(c) for c, e in made.items()])
 
 
 def keep_good(docs: DataFrame, **limits: float) -> DataFrame:

@@ -397,6 +397,8 @@ def _bucketed(spark: SparkSession, docs: DataFrame, tasks: int) -> DataFrame:
 def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bits: int = BATCH_BITS) -> DataFrame:
     """``docs`` with ``kept`` (remaining bytes), ``n_bytes``, ``n_removed`` and ``n_spans`` in place of ``text``. Runs jobs.
 
+    New columns replace columns of their names.
+
     A batch has ``2 ** batch_bits`` rows at most.
     """
     spark = docs.sparkSession
@@ -411,4 +413,5 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ba
     local = cut.filter(F.col("print").isNull()).select("batch", "row", "first", "last")
     repeats = stage(local.unionByName(_compare(cut, tasks, length)), "repeats")
     done = _removed(held, repeats, ["text", *own.values()], length)
-    return done.select(*[F.col(v).alias(c) for c, v in own.items()], "kept", "n_bytes", "n_removed", "n_spans")
+    made = ["kept", "n_bytes", "n_removed", "n_spans"]
+    return done.select(*[F.col(v).alias(c) for c, v in own.items() if c not in made], *made)

@@ -35,8 +35,8 @@ FEATURES, FACTORS = 1 << 18, 4
 MOST_TOXIC, MOST_CLEAN = 4_000, 8_000
 LEAST_TEXTS = 4
 STEMS = (4, 5)
-EPOCHS, RATE, START, BATCH = 15, 0.4, 1e-3, 256
-SPARSITY, PAIR_SPARSITY = 1e-3, 4e-3
+STEPS, RATE, CHANCE = 60, 0.5, 2.5
+PAIRED, PAIR_RATE, DECAY = 512, 0.1, 1e-4
 CACHED_WORDS = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -86,52 +86,70 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_machine(texts: list[np.ndarray], labels: np.ndarray, seed: int = 11) -> Machine:
-    """Fit by adaptive gradient steps on the logistic loss.
+    """Fit by adaptive gradient steps over the whole sample on the logistic loss.
 
-    Features of few texts are left out, and each step draws all values towards
-    zero, where most stay: chance terms of long texts would drown the few that
-    matter.
+    First the weights: each step draws a weight towards zero by as much as chance
+    would move it, ``CHANCE`` standard deviations, so terms that have nothing to
+    do with the label stay at zero and don't add up in long texts. Then, with the
+    weights, the vectors of at most ``PAIRED`` features: half of them those of
+    the greatest weights, half the most common ones.
     """
     y = labels.astype(np.float64)
     share = float(y.mean()) if len(y) else 0.0
-    none = np.empty(0, np.int64)
-    if not 0 < share < 1:
-        return Machine(none, float(np.log((share + 1e-9) / (1 - share + 1e-9))), np.empty(0), np.empty((0, FACTORS)))
-    count = np.bincount(np.concatenate(texts), minlength=FEATURES)
+    count = np.bincount(np.concatenate(texts), minlength=FEATURES) if texts else np.zeros(FEATURES, np.int64)
     features = np.flatnonzero(count >= LEAST_TEXTS)
+    if not 0 < share < 1 or not len(features):
+        bias = float(np.log((share + 1e-9) / (1 - share + 1e-9)))
+        return Machine(np.empty(0, np.int64), bias, np.empty(0), np.empty((0, FACTORS)))
+    flat, offsets = _positions(texts, features)
+    n, rows = len(features), len(texts)
+    owner = np.repeat(np.arange(rows), np.diff(offsets))
+    pull = CHANCE * np.sqrt(count[features] * share * (1 - share)) / rows
+    machine = Machine(features, float(np.log(share / (1 - share))), np.zeros(n), np.zeros((n, FACTORS)))
+    grown, bias_grown = np.full(n, 1e-8), 1e-8
+
+    def step_weights(margins: np.ndarray) -> np.ndarray:
+        nonlocal bias_grown
+        error = (sigmoid(margins) - y) / rows
+        slope = np.bincount(flat, error[owner], n)
+        grown[:] += slope**2
+        step = RATE / np.sqrt(grown)
+        moved = machine.weight - step * slope
+        machine.weight = np.sign(moved) * np.maximum(np.abs(moved) - step * pull, 0)
+        bias_grown += error.sum() ** 2
+        machine.bias -= RATE * error.sum() / np.sqrt(bias_grown)
+        return error
+
+    for _ in range(STEPS):
+        step_weights(machine.bias + np.bincount(owner, machine.weight[flat], rows))
+
+    half = PAIRED // 2
+    strong = np.argsort(-np.abs(machine.weight), kind="stable")[:half]
+    chosen = np.union1d(strong[machine.weight[strong] != 0], np.argsort(-count[features], kind="stable")[:half])
+    paired = np.isin(flat, chosen)
+    some, some_owner = flat[paired], owner[paired]
+    machine.vector[chosen] = np.random.default_rng(seed).normal(0, 0.03, (len(chosen), FACTORS))
+    vector_grown = np.full((n, FACTORS), 1e-8)
+    for _ in range(STEPS):
+        own = machine.vector[some]
+        both = np.stack([np.bincount(some_owner, own[:, f], rows) for f in range(FACTORS)], axis=1)
+        pairs = ((both**2).sum(axis=1) - np.bincount(some_owner, (own**2).sum(axis=1), rows)) / 2
+        error = step_weights(machine.bias + np.bincount(owner, machine.weight[flat], rows) + pairs)
+        each = error[some_owner]
+        slope = np.stack([np.bincount(some, each * (both[some_owner, f] - own[:, f]), n) for f in range(FACTORS)], axis=1)
+        slope += DECAY * machine.vector
+        vector_grown += slope**2
+        machine.vector -= PAIR_RATE * slope / np.sqrt(vector_grown)
+    used = (machine.weight != 0) | (machine.vector != 0).any(axis=1)
+    return Machine(features[used], machine.bias, machine.weight[used], machine.vector[used])
+
+
+def _positions(texts: list[np.ndarray], features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the texts' features among those given, end to end, and where each text begins (and the end)."""
     keep = np.full(FEATURES, -1, np.int64)
     keep[features] = np.arange(len(features))
-    rows = [k[k >= 0] for k in (keep[t] for t in texts)]
-    rng = np.random.default_rng(seed)
-    n = len(features)
-    machine = Machine(features, float(np.log(share / (1 - share))), np.zeros(n), np.zeros((n, FACTORS)))
-    grown = [np.full(n, START), np.full((n, FACTORS), START)]
-    bias_grown = START
-    for epoch in range(EPOCHS):
-        if epoch == EPOCHS // 2:  # what the weights leave unexplained is for the pairs
-            machine.vector[:] = rng.normal(0, 0.02, (n, FACTORS))
-        order = rng.permutation(len(rows))
-        for lo in range(0, len(order), BATCH):
-            part = order[lo : lo + BATCH]
-            flat = np.concatenate([rows[i] for i in part])
-            sizes = np.array([len(rows[i]) for i in part])
-            offsets = np.concatenate([[0], np.cumsum(sizes)])
-            error = (sigmoid(machine.margins(flat, offsets)) - y[part]) / len(part)
-            owner = np.repeat(np.arange(len(part)), sizes)
-            both = np.stack([np.bincount(owner, machine.vector[flat, f], len(part)) for f in range(FACTORS)], axis=1)
-            each = error[owner]
-            slopes = [np.bincount(flat, each, n)]
-            slopes.append(np.stack([
-                np.bincount(flat, each * (both[owner, f] - machine.vector[flat, f]), n) for f in range(FACTORS)
-            ], axis=1))
-            for value, slope, seen, pull in zip((machine.weight, machine.vector), slopes, grown, (SPARSITY, PAIR_SPARSITY)):
-                seen += slope**2
-                step = RATE / np.sqrt(seen)
-                value -= step * slope
-                value[:] = np.sign(value) * np.maximum(np.abs(value) - step * pull, 0)
-            bias_grown += error.sum() ** 2
-            machine.bias -= RATE * error.sum() / np.sqrt(bias_grown)
-    return machine
+    found = [k[k >= 0] for k in (keep[t] for t in texts)]
+    return np.concatenate(found), np.concatenate([[0], np.cumsum([len(f) for f in found])])
 
 
 def held_out(doc_id: Column) -> Column:
