@@ -11,8 +11,8 @@ all others are decided on the full sets.
 Buckets never emit all their pairs. In each round every unresolved bucket names
 hubs, and only members outside a hub's component are compared with it. A hub has
 then met its whole bucket and leaves it. A bucket is resolved when all members
-left in it belong to one component; the number of hubs grows fourfold from round
-to round. Every pair of a bucket is thus either decided or within a component, as
+left in it belong to one component; the number of hubs grows sixteenfold from
+round to round. Every pair of a bucket is thus either decided or within a component, as
 if all had been compared, while a group of near copies costs a row for each.
 
 Bands of four samples, twenty of them, miss a pair of similarity 0.85 with
@@ -28,10 +28,11 @@ are not read by :func:`components`.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkwell.llm.common import text_of
@@ -141,12 +142,21 @@ def samples(hashes: np.ndarray, step: int = 4096) -> np.ndarray:
     return least
 
 
+def _parity(hashes: np.ndarray) -> np.ndarray:
+    """A bitmap in which each number flips a bit."""
+    bits = SKETCH_WORDS * 64
+    count = np.bincount((_mix(hashes) % np.uint64(bits)).astype(np.int64), minlength=bits)
+    return np.packbits((count & 1).astype(np.uint8)).view(np.uint64)
+
+
 def odd_sketch(found: np.ndarray) -> np.ndarray:
     """The samples folded into a bitmap: each flips a bit, chosen by its value and number."""
-    bits = SKETCH_WORDS * 64
-    place = _mix(found.astype(np.uint64) + (np.arange(len(found), dtype=np.uint64) << np.uint64(32))) % np.uint64(bits)
-    parity = np.bincount(place.astype(np.int64), minlength=bits) & 1
-    return np.packbits(parity.astype(np.uint8)).view(np.uint64)
+    return _parity(found.astype(np.uint64) + (np.arange(len(found), dtype=np.uint64) << np.uint64(32)))
+
+
+def set_sketch(hashes: np.ndarray) -> np.ndarray:
+    """The whole set folded likewise. Two such bitmaps differ in at most as many bits as sets differ in members."""
+    return _parity(hashes ^ np.uint64(_BASE))
 
 
 def most_odd_bits(similarity: float, slack: float = SLACK) -> int:
@@ -166,29 +176,36 @@ def signatures(docs: DataFrame) -> DataFrame:
             with np.errstate(over="ignore"):
                 for found in shingle_sets(batch.column(1)):
                     if not len(found):
-                        rows.append((0, 0, 0, None, None))
+                        rows.append((0, 0, 0, None, None, None))
                         continue
                     least = samples(found)
                     keys = least[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS).astype(np.uint64)
                     bands = _mix((keys * _PLACE[:BAND_ROWS]).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
                     sums = found.sum(dtype=np.uint64), _mix(found).sum(dtype=np.uint64)
-                    rows.append((len(found), *(int(x.view(np.int64)) for x in sums), bands.view(np.int64), odd_sketch(least).view(np.int64)))
-            n, a, b, bands, sketch = zip(*rows)
+                    rows.append((len(found), *(int(x.view(np.int64)) for x in sums), bands.view(np.int64), odd_sketch(least).view(np.int64), set_sketch(found).view(np.int64)))
+            n, a, b, bands, sketch, members = zip(*rows)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "sum_a", "sum_b", "bands", "sketch"],
+                 *[pa.array(x, pa.list_(pa.int64())) for x in (bands, sketch, members)]],
+                ["doc_id", "n_shingles", "sum_a", "sum_b", "bands", "sketch", "members"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, sum_a long, sum_b long, bands array<long>, sketch array<long>"
+        run,
+        f"doc_id {kind}, n_shingles long, sum_a long, sum_b long, bands array<long>, sketch array<long>, "
+        "members array<long>",
     )
 
 
 SET = ["n_shingles", "sum_a", "sum_b"]
 
 
+def _words() -> list[Column]:
+    """The words of both bitmaps as columns of their own, which a join condition reads fastest."""
+    return [F.get(c, F.lit(i)).alias(f"{c}{i}") for c in ("sketch", "members") for i in range(SKETCH_WORDS)]
+
+
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node`` and its set, for the nodes of ``nodes`` (doc_id and what stands for the set), staged."""
     ids = nodes.select(F.col("doc_id").alias("node")).distinct()
@@ -222,6 +239,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     components and only group and join by node.
     """
     edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "edges")
+    checksum = F.sum(F.xxhash64("a", "b").cast("decimal(20, 0)"))
+    before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -229,11 +248,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = stage(large, "edges")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        small = stage(small.select("e.*").filter("a != b").distinct(), "edges")
-        changed = small.exceptAll(edges).limit(1).count() + edges.exceptAll(small).limit(1).count()
-        edges = small
-        if not changed:
+        edges = stage(small.select("e.*").filter("a != b").distinct(), "edges")
+        now = edges.agg(F.count(F.lit(1)), checksum).first()
+        if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        before = now
 
 
 def _near(pair: DataFrame, hub: DataFrame, percent: int) -> DataFrame:
@@ -241,12 +260,17 @@ def _near(pair: DataFrame, hub: DataFrame, percent: int) -> DataFrame:
 
     The comparison is a condition of the join, so only pairs that pass it become rows.
     """
-    differ = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("h_sketch", F.lit(i)))) for i in range(SKETCH_WORDS)), F.lit(0))
-    sizes = 100 * F.least("n_shingles", "h_size") >= percent * F.greatest("n_shingles", "h_size")
+    differ = lambda c: reduce(
+        Column.__add__, [F.bit_count(F.col(f"{c}{i}").bitwiseXOR(F.col(f"h_{c}{i}"))) for i in range(SKETCH_WORDS)]
+    )
+    sizes = 100 * F.least("n_shingles", "h_n_shingles") >= percent * F.greatest("n_shingles", "h_n_shingles")
+    # Linked sets differ in at most this share of their sizes, and their bitmaps in no more bits.
+    few = (100 + percent) * differ("members") <= (100 - percent) * (F.col("n_shingles") + F.col("h_n_shingles"))
     met = pair.join(
-        hub.toDF("h_bucket", "h_node", "h_component", "h_size", "h_sketch"),
-        (F.col("bucket") == F.col("h_bucket")) & (F.col("component") != F.col("h_component")) & sizes
-        & (differ <= most_odd_bits(percent / 100)),
+        hub.toDF(*[f"h_{c}" for c in hub.columns]),
+        (F.col("bucket") == F.col("h_bucket")) & (F.col("component") != F.col("h_component"))
+        & (~F.col("is_hub") | (F.col("node") < F.col("h_node"))) & sizes & few
+        & (differ("sketch") <= most_odd_bits(percent / 100)),
     )
     return met.select(F.least("node", "h_node").alias("a"), F.greatest("node", "h_node").alias("b")).distinct()
 
@@ -264,7 +288,7 @@ def components(docs: DataFrame, percent: int = 85) -> DataFrame:
     signed = stage(signatures(docs), "signatures")
     named = signed.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     nodes = stage(
-        named.groupBy(*SET).agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")),
+        named.groupBy(*SET).agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"), *[F.any_value(c).alias(c) for c in ("sketch", "members")]),
         "nodes",
     )
     # An id with several texts is a node for each; they are told apart by number.
@@ -273,7 +297,7 @@ def components(docs: DataFrame, percent: int = 85) -> DataFrame:
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     members = stage(buckets.join(shared, "bucket"), "members")
     met = members.select("node").distinct()
-    near = nodes.join(met, "node", "left_semi").select("node", "sketch", F.col("node.n_shingles").alias("n_shingles"))
+    near = nodes.join(met, "node", "left_semi").select("node", F.col("node.n_shingles").alias("n_shingles"), *_words())
     near = stage(near, "near")
     sets = full_sets(docs, near.select("node.*")).select(F.struct(F.col("node").alias("doc_id"), *SET).alias("node"), "hashes")
     labels, hubs = None, 1
@@ -287,26 +311,29 @@ def components(docs: DataFrame, percent: int = 85) -> DataFrame:
             break
         part = F.pmod(F.xxhash64("node"), F.lit(hubs)).alias("part")
         chosen = stage(live.groupBy("bucket", part).agg(F.min(F.struct("node", "component")).alias("hub")).select("bucket", "hub.*"), "hubs")
-        drawn = lambda x: x.select("bucket", "node", "component").join(near, "node").select(
-            "bucket", "node", "component", "n_shingles", "sketch"
-        )
-        links = stage(_links(_near(drawn(live), drawn(chosen), percent), sets, percent), "links")
-        ends = links
-        if labels is not None:
+        traits = [c for c in near.columns if c != "node"]
+        drawn = lambda x: x.join(near, "node").select("bucket", "node", "component", *traits)
+        # Two hubs of a bucket are compared once.
+        is_hub = F.coalesce("is_hub", F.lit(False)).alias("is_hub")
+        marked = drawn(live).join(chosen.select("bucket", "node", F.lit(True).alias("is_hub")), ["bucket", "node"], "left")
+        marked = marked.select("bucket", "node", "component", *traits, is_hub)
+        links = stage(_links(_near(marked, drawn(chosen), percent), sets, percent), "links")
+        if not links.take(1):
+            pass
+        elif labels is None:
+            labels = connected_components(links)
+        else:
             of = lambda s: labels.select(F.col("node").alias(s), F.col("component").alias(f"c_{s}"))
             ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
                 F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")
             )
-        found = connected_components(ends)
-        if labels is None:
-            labels = found
-        else:
+            found = connected_components(ends)
             moved = found.select(F.col("node").alias("component"), F.col("component").alias("to"))
             kept = labels.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
             fresh = found.join(labels, "node", "left_anti")
             labels = stage(kept.unionByName(fresh), "labels")
         members = stage(live.join(chosen, ["bucket", "node"], "left_anti").select("bucket", "node"), "members")
-        hubs *= 4
+        hubs *= 16
     base = nodes.select(*SET, "node")
     if labels is not None:
         base = base.join(labels, "node", "left").select(*SET, F.coalesce("component", "node").alias("node"))
