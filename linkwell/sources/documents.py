@@ -51,24 +51,27 @@ def split_sources(entities: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     return tuple(entities.filter(F.col("source") == s).drop(*hidden) for s in ("S1", "S2", "S3"))
 
 
+def truth_groups(entities: DataFrame) -> DataFrame:
+    """The truth in linear form: a group for each record, ``(entity_id, truth_key)``.
+
+    Records of S1 and targets of one group are true pairs. A text of very many
+    copies costs a row for each copy here, not one for each pair.
+    """
+    return entities.select("entity_id", "truth_key")
+
+
 def truth_pairs(entities: DataFrame) -> DataFrame:
-    """True pairs: an S1 record and, in each target source, the smallest id among its copies.
+    """All true pairs: S1 records and the target records of their group.
 
-    One partner per source keeps the truth linear in the records, however many
-    copies a text has.
+    The long form of :func:`truth_groups`, for reports and files that name pairs.
     """
-    partners = (
-        entities.filter(F.col("source") != "S1")
-        .groupBy("truth_key", "source")
-        .agg(F.min("entity_id").alias(CANDIDATE_ID))
-        .drop("source")
-    )
-    ours = entities.filter(F.col("source") == "S1").select(F.col("entity_id").alias(S1_ID), "truth_key")
-    return ours.join(partners, "truth_key").select(S1_ID, CANDIDATE_ID)
+    side = lambda c, name: entities.filter(c).select(F.col("entity_id").alias(name), "truth_key")
+    ours, theirs = side(F.col("source") == "S1", S1_ID), side(F.col("source") != "S1", CANDIDATE_ID)
+    return ours.join(theirs, "truth_key").select(S1_ID, CANDIDATE_ID)
 
 
 def truth_lists(s1: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Wide truth: every S1 id with its comma-joined partners, at most one per target source."""
+    """Wide truth: every S1 id with its comma-joined partners."""
     joined = pairs.groupBy(S1_ID).agg(F.array_join(F.sort_array(F.collect_set(CANDIDATE_ID)), ",").alias("_ids"))
     return (
         s1.select(F.col("entity_id").alias(S1_ID))

@@ -10,8 +10,6 @@ from linkwell.schema import ENTITY_COLUMNS, require_columns
 # The TSV format.
 TSV_OPTIONS = {"header": "true", "sep": "\t", "quote": '"', "escape": '"'}
 
-FEW_SPLITS = 32
-
 
 def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
     """All-string TSV with a header. Only blank fields become null, so ``NA`` stays text.
@@ -30,18 +28,8 @@ def read_entities(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return require_columns(read_tsv(spark, path), ENTITY_COLUMNS)
 
 
-def read_parquet(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
-    """Parquet table. With ``spread_by``, a table of few splits is dealt out to all cores by that column.
-
-    That only concerns tables of fewer than ``FEW_SPLITS`` splits, a few GB at
-    most, where heavy work on each row would leave most cores idle; a larger
-    table is read split by split, without a shuffle.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and df.rdd.getNumPartitions() < min(cores, FEW_SPLITS):
-        return df.repartition(cores, spread_by)
-    return df
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def write_tsv(
