@@ -10,7 +10,7 @@ that doesn't fit is cut, and its rest stays in the index. So every window of a
 shard is full but for the last tokens, which are cut at powers of two and need
 no padding either.
 
-Words are tokenized once for each task while a bounded cache holds them. That is
+Words are tokenized once by each worker while a bounded cache holds them. That is
 the tokenizer's own result, because it never joins characters across white space;
 one text of each batch is compared with a direct call.
 
@@ -23,6 +23,7 @@ sequences. Other columns are not read.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -38,38 +39,57 @@ from linkwell.session import stage
 WINDOW, END_ID = 4096, 2
 TOKENS_PER_SHARD = 2_000_000
 K1, B = 1.2, 0.75
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 
 
 class Words(dict):
-    """Token ids of words, found where unknown. The oldest half goes when there are too many."""
+    """Packed token ids of words, found where unknown. The oldest half goes when there are too many."""
 
     def __init__(self, tokenizer, most: int = CACHED_WORDS):
         self.tokenizer, self.most, self.old = tokenizer, most, {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self._find(word)
-        self[word] = ids
-        return ids
-
-    def _find(self, word: str) -> tuple[int, ...]:
-        if word.isascii() and "<" not in word:  # special tokens are matched in the text as it stands
-            low = word.lower()
-            if len(low) > 1 and low[-1] in ".," and low[-2].isalpha():
-                return self[low[:-1]] + self[low[-1]]
-            if low != word:
-                return self[low]
-        return tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
-
-    def age(self) -> None:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts. Words that are new to them all are tokenized in one call."""
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self) > self.most // 2:
             self.old = dict(self)
             self.clear()
+        new, old = set().union(*cut).difference(self), self.old
+        for word in new.intersection(old):
+            self[word] = old[word]
+        parts = {w: _parts(w) for w in new.difference(old)}
+        missing = list(set(chain.from_iterable(parts.values())).difference(self))
+        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+        self.update(zip(missing, (array("i", e.ids).tobytes() for e in found)))
+        for word, some in parts.items():
+            if len(some) == 2:
+                self[word] = self[some[0]] + self[some[1]]
+            elif some[0] is not word:
+                self[word] = self[some[0]]
+        of = self.__getitem__
+        return [np.frombuffer(b"".join(map(of, c)), np.int32) for c in cut]
+
+
+def _parts(word: str) -> tuple[str, ...]:
+    """What a word's ids can be put together from: its lower case, and a last stop or comma by itself."""
+    if not word.isascii() or "<" in word:  # special tokens are matched in the text as it stands
+        return (word,)
+    low = word.lower()
+    return (low[:-1], low[-1]) if len(low) > 1 and low[-1] in ".," and low[-2].isalpha() else (low,)
+
+
+_words: dict[int, Words] = {}
+
+
+def _words_of(content: str) -> Words:
+    """The words of a tokenizer, kept from task to task by a worker process."""
+    key = hash(content)
+    if key not in _words:
+        from tokenizers import Tokenizer
 
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.__getitem__, text.replace("\n", " ").split(" "))))
+        _words.clear()
+        _words[key] = Words(Tokenizer.from_str(content))
+    return _words[key]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -89,21 +109,18 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> Da
     """doc_id, ``ids`` with the end id last, and ``sketch`` of each row. The tokenizer file is read on the driver."""
     with open(tokenizer, "rb") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
-    tail = [] if end_id is None else [end_id]
+    tail = np.array([] if end_id is None else [end_id], np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        words = Words(Tokenizer.from_str(content.value.decode("utf-8")))
+        words = _words_of(content.value.decode("utf-8"))
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 texts = part.column(1).to_pylist()
-                ids = [np.array(words.encode(t) + tail, np.int32) for t in texts]
-                if ids[0].tolist() != words.tokenizer.encode(texts[0], add_special_tokens=False).ids + tail:
+                ids = [np.append(i, tail) for i in words.encode(texts)]
+                if ids[0].tolist() != words.tokenizer.encode(texts[0], add_special_tokens=False).ids + tail.tolist():
                     raise ValueError("this tokenizer joins characters across white space")
-                words.age()
                 offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays(

@@ -7,7 +7,7 @@ that form a piece wait in an agenda in the order of score, leftmost first. The
 best pair is merged, and the pairs it forms with its neighbours are added.
 Characters without a piece become byte pieces.
 
-Parts that a task meets for the first time are encoded by the agenda and, batch
+Parts that a worker meets for the first time are encoded by the agenda and, batch
 by batch, compared with the sentencepiece library; a difference is an error.
 Known parts are looked up in a cache of bounded size.
 
@@ -31,7 +31,7 @@ from linkwell.llm.common import text_of
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-CACHED_PARTS = 800_000
+CACHED_PARTS = 500_000
 SHORT_PART = 80
 NEVER = float("inf")
 
@@ -241,6 +241,18 @@ def _character(b: bytes) -> bool:
         return False
 
 
+_models: dict[int, MergeModel] = {}
+
+
+def _model_of(content: bytes) -> MergeModel:
+    """The model, kept from task to task by a worker process with the parts it knows."""
+    key = hash(content)
+    if key not in _models:
+        _models.clear()
+        _models[key] = MergeModel(content)
+    return _models[key]
+
+
 def encode_decode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``docs`` without its text, with ``ids`` (packed, little-endian unsigned 32-bit) and ``decoded``.
 
@@ -255,7 +267,7 @@ def encode_decode(docs: DataFrame, model: str, text: str = "text", ids: str = "i
     schema = rows.drop(text).selectExpr("*", f"cast(null as binary) `{ids}`", f"cast(null as string) `{decoded}`").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = MergeModel(content.value)
+        pieces = _model_of(content.value)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
