@@ -40,6 +40,7 @@ from linkwell.session import scratch_path, stage
 ARCHIVE_BYTES = 64 << 20
 LEAST_REVISIT_BYTES = 100
 DRAFT_LEVEL, FINAL_LEVEL = 1, 4
+MOST_TASKS = 10_000
 DATE = "1970-01-01T00:00:00Z"
 BLOCK = 1 << 17
 # Record types and the profile of revisits.
@@ -191,6 +192,11 @@ def choose_revisits(records: DataFrame, least_bytes: int = LEAST_REVISIT_BYTES)
     return repeats.select("archive", "ordinal", F.col("first.page_id").alias("refers_to"))
 
 
+def _dealt(archives: DataFrame) -> DataFrame:
+    """One archive to a task, or a few where there are very many: adaptive execution sees only short rows of names."""
+    return archives.repartition(min(max(1, archives.count()), MOST_TASKS), "archive")
+
+
 def normalize(archives: DataFrame, folder: str) -> DataFrame:
     """Rewrite each archive with a member for each record; a row for each new archive, staged.
 
@@ -223,14 +229,14 @@ def normalize(archives: DataFrame, folder: str) -> DataFrame:
                         offset += len(member)
                 yield name + ".warc.gz", name + ".idx", n
 
-    done = archives.select("archive", "revisits").mapInArrow(
+    done = _dealt(archives).select("archive", "revisits").mapInArrow(
         lambda b: batches_of(rewritten(b), schema), "archive string, index string, records long"
     )
     return stage(done, "archives")
 
 
 def read_back(archives: DataFrame) -> DataFrame:
-    """A row for each record of normalized archives, each read by its offset and inflated by itself."""
+    """A row for each record of normalized archives, each read by its offset and inflated by itself. Counts the archives."""
     schema = pa.schema([
         ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
         ("record_type", pa.string()), ("refers_to", pa.int64()), ("archive", pa.string()), ("offset", pa.int64()),
@@ -249,7 +255,7 @@ def read_back(archives: DataFrame) -> DataFrame:
                         (record,) = read_records(iter([data]))
                         yield _described(record) + (name, entry["offset"])
 
-    return archives.select("archive", "index").mapInArrow(
+    return _dealt(archives).select("archive", "index").mapInArrow(
         lambda b: batches_of(records(b), schema),
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, "
         "offset long",
@@ -270,4 +276,4 @@ def archive_pages(spark: SparkSession, pages: DataFrame, folder: str | None = No
     folder = folder or scratch_path(spark, "warc")
     drafts = write_drafts(pages, folder, archive_bytes)
     found = choose_revisits(drafts).groupBy("archive").agg(F.collect_list(F.struct("ordinal", "refers_to")).alias("revisits"))
-    return normalize(drafts.select("archive").distinct().join(found, "archive", "left"), folder)
+    return normalize(stage(drafts.select("archive").distinct().join(found, "archive", "left"), "revisits"), folder)
