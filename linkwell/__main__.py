@@ -8,6 +8,8 @@ import inspect
 from pyspark.sql import DataFrame, SparkSession
 
 from linkwell.plans.jobs import JOBS
+from linkwell.session import stage
+from linkwell.sources import files
 
 
 def parser() -> argparse.ArgumentParser:
@@ -20,15 +22,20 @@ def parser() -> argparse.ArgumentParser:
             kind = str if needed else type(p.default)
             sub.add_argument(f"--{p.name.replace('_', '-')}", dest=p.name, required=needed, type=kind,
                              default=None if needed else p.default)
+        if "DataFrame" in str(f.__annotations__["return"]):
+            sub.add_argument("--output", dest="report", default="", help="write the whole report here as TSV")
     return top
 
 
 def main(argv: list[str] | None = None) -> int:
     args = vars(parser().parse_args(argv))
-    job = JOBS[args.pop("job")]
+    job, path = JOBS[args.pop("job")], args.pop("report", "")
     spark = SparkSession.builder.appName(f"linkwell-{job.__name__}").getOrCreate()
     report = job(spark, **args)
     if isinstance(report, DataFrame):
+        report = stage(report, "report")
+        if path:
+            files.write_tsv(report, path)
         report.show(100, truncate=False)
         if job.__name__ == "validate":
             return 0 if report.isEmpty() else 1

@@ -46,13 +46,26 @@ def block(
     files.write_tsv(blocking.candidate_lists(ours, pairs), output, sort_by=S1_ID)
 
 
-def key_stats(spark: SparkSession, s1: str, s2: str, s3: str) -> DataFrame:
-    return blocking.blocking_key_stats(_sides(spark, s1, s2, s3)[1])
+def key_stats(
+    spark: SparkSession, s1: str, s2: str, s3: str,
+    prefix4_cap: int = blocking.PREFIX4_CAP, prefix6_cap: int = blocking.PREFIX6_CAP,
+) -> DataFrame:
+    """Block keys of the targets and how many of them are within the caps."""
+    return blocking.blocking_key_stats(_sides(spark, s1, s2, s3)[1], {4: prefix4_cap, 6: prefix6_cap})
 
 
-def candidate_stats(spark: SparkSession, s1: str, s2: str, s3: str) -> DataFrame:
-    """Coverage and distribution of the capped rules, without building their pairs."""
-    counts = stage(coverage.capped_candidate_counts(*_sides(spark, s1, s2, s3)), "counts")
+def candidate_stats(
+    spark: SparkSession, s1: str, s2: str, s3: str, candidates: str = "",
+    prefix4_cap: int = blocking.PREFIX4_CAP, prefix6_cap: int = blocking.PREFIX6_CAP,
+) -> DataFrame:
+    """Coverage and distribution of the candidate lists given, or of the capped rules without building their pairs."""
+    ours, theirs = _sides(spark, s1, s2, s3)
+    if candidates:
+        pairs = features.explode_candidates(files.read_tsv(spark, candidates, CANDIDATE_LISTS))
+        counts = coverage.pair_candidate_counts(ours, pairs)
+    else:
+        counts = coverage.capped_candidate_counts(ours, theirs, prefix4_cap, prefix6_cap)
+    counts = stage(counts, "counts")
     spread = coverage.candidate_distribution(counts).select(F.struct("*")).scalar()
     return coverage.candidate_coverage(counts).withColumn("_d", spread).select("*", "_d.*").drop("_d")
 

@@ -510,12 +510,24 @@ select s1.entity_id as source1_entity_id,
   coalesce(string_agg(candidate_entity_id, ',' order by candidate_entity_id), '') as matched_entity_ids
 from s1 left join scored on source1_entity_id = s1.entity_id and match_probability >= {limit} group by 1"""
     out["validate_output"] = f"""{pairs_sql(TOKEN_CAPPED, 'unicode')}, {truth_sql()},
-wide as (select source1_entity_id from truth group by 1)
+bad as (select entity_id as id from ent where source = 'S1' and country is null),
+m as (select source1_entity_id as id from truth group by 1 union all select id from bad),
+single as (select source1_entity_id as id, candidate_entity_id as c from truth
+  union all select id, id from bad union all select id, 'S2-none' from bad)
 select 'V3' as rule, null::varchar as source1_entity_id, 'matching_results: ' || count(*) as detail
-from wide having count(*) <> (select count(*) from s1)
+from m having count(*) <> (select count(*) from s1)
 union all
-select 'V8', source1_entity_id, candidate_entity_id from truth
-where candidate_entity_id not in (select entity_id from ent where source = 'S2' or (source = 'S3' and country is not null))
+select 'V4', null, 'candidate_pairs: ' || ((select count(*) from s1) + count(*)) from bad having count(*) > 0
 union all
-select 'V9', source1_entity_id, candidate_entity_id from truth anti join pairs using (source1_entity_id, candidate_entity_id)"""
+select 'V5', id, 'matching_results' from m group by id having count(*) > 1
+union all
+select 'V5', id, 'candidate_pairs' from bad
+union all
+select 'V6', id, id || ',S2-none,S2-none' from bad
+union all
+select 'V7', id, c from single where c not like 'S2-%' and c not like 'S3-%'
+union all
+select 'V8', id, c from single where c not in (select entity_id from ent where source <> 'S1')
+union all
+select 'V9', id, c from single where (id, c) not in (select source1_entity_id, candidate_entity_id from pairs)"""
     return out

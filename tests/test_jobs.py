@@ -37,6 +37,11 @@ def test_jobs_end_to_end(spark, tmp_path):
                    ["blocking-size", "--candidates", f"{d}/candidates.tsv"],
                    ["blocking-recall", "--ground-truth", f"{d}/truth.tsv", "--candidates", f"{d}/candidates.tsv"]):
         assert main(report) == 0
+    lists = ["--candidates", f"{d}/candidates.tsv"]
+    assert main(["candidate-stats", *sides, *lists, "--output", f"{d}/stats"]) == 0
+    sizes = [len((r[0] or "").split(",")) if r[0] else 0 for r in files.read_tsv(spark, f"{d}/candidates.tsv").select("candidate_entity_ids").collect()]
+    row = files.read_tsv(spark, f"{d}/stats").first()
+    assert (int(row.total_pairs), int(row.s1_covered), int(row.max_candidates)) == (sum(sizes), sum(n > 0 for n in sizes), max(sizes))
 
 
 def test_arguments():
