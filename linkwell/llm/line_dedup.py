@@ -66,8 +66,8 @@ def dedup_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
         ),
         "windows",
     )
-    spot = F.struct("doc", "row", "place")
-    shared = windows.groupBy("print").agg(F.min(spot).alias("lo"), F.max(spot).alias("hi")).filter("lo != hi").select("print")
+    ends = [f(c).alias(f"{n}_{c}") for c in ("row", "place") for n, f in (("lo", F.min), ("hi", F.max))]
+    shared = windows.groupBy("print").agg(*ends).filter("lo_row != hi_row or lo_place != hi_place").select("print")
     near = windows.join(shared, "print", "left_semi")
     begin = F.struct("doc", "row", "at")
     ahead = F.col("place") - F.col("at")
