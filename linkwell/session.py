@@ -28,9 +28,32 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/linkwell/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/linkwell/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """A point in time, for :func:`scratch_since`."""
+    return len(_scratch)
+
+
+def scratch_since(mark: int) -> list[str]:
+    """Scratch paths made since then."""
+    return _scratch[mark:]
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders, through the file system that holds them. Whatever reads them must have run."""
+    jvm = spark.sparkContext._jvm
+    for name in set(paths) & set(_scratch):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:

@@ -1,6 +1,7 @@
 import glob
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from linkwell import session
@@ -96,3 +97,13 @@ def test_document_entities(spark):
     assert s1.columns == ENTITY_COLUMNS and s2.count() == 2
     lists = dict(map(tuple, documents.truth_lists(s1, documents.truth_pairs(entities)).collect()))
     assert lists == {"S1-0": "S2-1,S2-4,S3-2", "S1-3": ""}
+
+
+def test_scratch_tables_are_released(spark):
+    mark = session.scratch_mark()
+    staged = session.stage(spark.range(3).toDF("n"), "rows")
+    (path,) = session.scratch_since(mark)
+    assert staged.count() == 3
+    session.release(spark, [path, "/tmp/not-a-scratch-folder"])
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path).count()
