@@ -22,10 +22,27 @@ from pyspark.sql import functions as F
 
 from linkwell.llm import line_dedup, minhash, packing, quality, suffix_dedup
 from linkwell.llm.common import table
-from linkwell.session import stage
+from linkwell.session import release, scratch_mark, scratch_since, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 SIMILARITY = 85
+_held: list[str] = []
+
+
+def releasing(step: Stage) -> Stage:
+    """A stage that first deletes the intermediate tables of the stage before.
+
+    That one's result has been written by then, as ``docs`` is what was written.
+    """
+
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _held)
+        mark = scratch_mark()
+        made = step(spark, docs, sf_dir)
+        _held[:] = scratch_since(mark)
+        return made
+
+    return run_step
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,11 +72,11 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("quality_rules", quality_rules),
-    ("repeated_lines", repeated_lines),
-    ("near_duplicates", near_duplicates),
-    ("repeated_substrings", repeated_substrings),
-    ("packed_sequences", packed_sequences),
+    ("quality_rules", releasing(quality_rules)),
+    ("repeated_lines", releasing(repeated_lines)),
+    ("near_duplicates", releasing(near_duplicates)),
+    ("repeated_substrings", releasing(repeated_substrings)),
+    ("packed_sequences", releasing(packed_sequences)),
 ]
 
 #: The stages cut and join texts in ways SQL doesn't express; tests compare them with brute-force versions.

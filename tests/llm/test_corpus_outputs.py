@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from linkwell.llm import packing, pieces, queries, sharding, warc
 from linkwell.llm.common import table
-from linkwell.session import scratch_path
+from linkwell.session import scratch_path, stage
 
 SMALL = "/root/testdata/sf0.001"
 WORDS, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -260,7 +260,7 @@ def test_pipeline_hands_on_documents(spark, odd):
     """Odd rows pass all stages; each but the last keeps the columns, and none adds rows."""
     docs = odd.select("doc_id", "text", "lang", "source", "n_chars", "row", "c0", "kept")
     for name, step in corpus_pipeline.STAGES[:-1]:
-        made = step(spark, docs, SMALL)
+        made = stage(step(spark, docs, SMALL), name)  # as written and read again
         assert made.schema.names == docs.schema.names and made.count() <= docs.count(), name
         docs = made
     name, last = corpus_pipeline.STAGES[-1]
@@ -277,7 +277,7 @@ def test_pipeline_stages_take_effect(spark):
 
     docs = table(spark, SMALL, "documents")
     steps = dict(corpus_pipeline.STAGES)
-    good = steps["quality_rules"](spark, docs, SMALL)
+    good = stage(steps["quality_rules"](spark, docs, SMALL), "good")
     assert not any(base_counts(r.text)[5] for r in good.collect())
     lined = {r.doc_id: r.text for r in steps["repeated_lines"](spark, good, SMALL).collect()}
     before = sorted((r.doc_id, r.text) for r in good.collect())
