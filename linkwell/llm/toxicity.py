@@ -36,7 +36,7 @@ MOST_TOXIC, MOST_CLEAN = 4_000, 8_000
 LEAST_TEXTS = 4
 STEMS = (4, 5)
 STEPS, RATE, CHANCE = 60, 0.5, 2.5
-PAIRED, PAIR_RATE, DECAY = 512, 0.1, 1e-4
+PAIR_RATE, DECAY, BLOCK = 0.1, 1e-4, 512
 CACHED_WORDS = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -91,8 +91,9 @@ def fit_machine(texts: list[np.ndarray], labels: np.ndarray, seed: int = 11) ->
     First the weights: each step draws a weight towards zero by as much as chance
     would move it, ``CHANCE`` standard deviations, so terms that have nothing to
     do with the label stay at zero and don't add up in long texts. Then, with the
-    weights, the vectors of at most ``PAIRED`` features: half of them those of
-    the greatest weights, half the most common ones.
+    weights, the vectors: of features that have a weight and of those of any pair
+    that the weights leave unexplained beyond chance (:func:`telling`). All others'
+    stay at zero for the same reason.
     """
     y = labels.astype(np.float64)
     share = float(y.mean()) if len(y) else 0.0
@@ -123,9 +124,11 @@ def fit_machine(texts: list[np.ndarray], labels: np.ndarray, seed: int = 11) ->
     for _ in range(STEPS):
         step_weights(machine.bias + np.bincount(owner, machine.weight[flat], rows))
 
-    half = PAIRED // 2
-    strong = np.argsort(-np.abs(machine.weight), kind="stable")[:half]
-    chosen = np.union1d(strong[machine.weight[strong] != 0], np.argsort(-count[features], kind="stable")[:half])
+    margins, shift = np.bincount(owner, machine.weight[flat], rows), machine.bias
+    for _ in range(30):  # the bias at which errors add up to nothing
+        p = sigmoid(margins + shift)
+        shift += np.clip((y - p).sum() / max((p * (1 - p)).sum(), 1e-9), -1, 1)
+    chosen = np.union1d(np.flatnonzero(machine.weight), telling(flat, owner, n, y, sigmoid(margins + shift)))
     paired = np.isin(flat, chosen)
     some, some_owner = flat[paired], owner[paired]
     machine.vector[chosen] = np.random.default_rng(seed).normal(0, 0.03, (len(chosen), FACTORS))
@@ -144,6 +147,50 @@ def fit_machine(texts: list[np.ndarray], labels: np.ndarray, seed: int = 11) ->
     return Machine(features[used], machine.bias, machine.weight[used], machine.vector[used])
 
 
+def telling(flat: np.ndarray, owner: np.ndarray, n: int, y: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Features of pairs whose texts' labels are off the chances ``p`` further than chance explains.
+
+    All pairs of the ``n`` features are judged, by Bernstein's bound on the sum of
+    the errors of the texts that hold both, at a level that less than one of all
+    pairs reaches by chance. Features whose own errors can't add up to the least
+    sum that the bound admits are in no such pair and left out before.
+    """
+    level = 2 * np.log(max(n, 2))
+    error, rows = y - p, len(y)
+    most = np.maximum(*(np.bincount(flat, np.maximum(e, 0)[owner], n) for e in (error, -error)))
+    able = np.flatnonzero(most >= 2 * level / 3)
+    place = np.full(n, -1, np.int64)
+    place[able] = np.arange(len(able))
+    column, row = place[flat], owner
+    row, column = row[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    begins = range(0, len(able), BLOCK)
+    cuts = np.searchsorted(column, [*begins, len(able)])
+    found = np.zeros(len(able), bool)
+    error, spread = (x.astype(np.float32)[:, None] for x in (error, p * (1 - p)))
+
+    def texts_of(k: int) -> np.ndarray:
+        block = np.zeros((rows, min(BLOCK, len(able) - k * BLOCK)), np.float32)
+        own = slice(cuts[k], cuts[k + 1])
+        block[row[own], column[own] - k * BLOCK] = 1
+        return block
+
+    for i in range(len(begins)):
+        left = texts_of(i)
+        errors, spreads = (left * error).T, (left * spread).T
+        for j in range(i, len(begins)):
+            right = left if i == j else texts_of(j)
+            sums = np.abs(errors @ right)
+            beyond = sums**2 >= 2 * level * (spreads @ right + sums / 3)
+            if i == j:
+                np.fill_diagonal(beyond, False)
+            beyond &= sums > 0
+            found[i * BLOCK : i * BLOCK + left.shape[1]] |= beyond.any(axis=1)
+            found[j * BLOCK : j * BLOCK + right.shape[1]] |= beyond.any(axis=0)
+    return able[found]
+
+
 def _positions(texts: list[np.ndarray], features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the texts' features among those given, end to end, and where each text begins (and the end)."""
     keep = np.full(FEATURES, -1, np.int64)

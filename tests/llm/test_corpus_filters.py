@@ -102,6 +102,29 @@ def test_pairs_of_terms_are_learnt():
     assert right > 0.95
 
 
+def test_pairs_of_rare_terms_are_learnt():
+    """Hundreds of terms are more common than two that are toxic together and clean alone, so have no weight."""
+
+    def drawn(seed, n=6000):
+        rng = np.random.default_rng(seed)
+        kind = rng.choice(4, n, p=[0.98, 0.005, 0.005, 0.01])
+        toxic = rng.random(n) < 0.5
+        own = [[], [1], [2], [1, 2]]
+        texts = [np.unique([*own[k], *[3] * int(t), *(10 + rng.choice(600, 10, replace=False))]) for k, t in zip(kind, toxic)]
+        return texts, np.where(kind == 3, 1, np.where(kind > 0, 0, toxic)).astype(int), kind
+
+    texts, labels, _ = drawn(1)
+    count = np.bincount(np.concatenate(texts))
+    assert min((count > count[k]).sum() for k in (1, 2)) > 400
+    m = toxicity.fit_machine(texts, labels)
+    texts, labels, kind = drawn(2)
+    keep = np.full(toxicity.FEATURES, -1)
+    keep[m.features] = np.arange(len(m.features))
+    found = [k[k >= 0] for k in (keep[t] for t in texts)]
+    right = (m.margins(np.concatenate(found), np.concatenate([[0], np.cumsum([len(t) for t in found])])) >= 0) == labels
+    assert right[kind == 3].mean() > 0.95 and right[(kind == 1) | (kind == 2)].mean() > 0.95
+
+
 def test_toxicity_of_odd_rows(spark, odd):
     labels = spark.createDataFrame([(0, 1), (2, 0), (None, 1), (9, None), (999, 1), (2, 0)], "doc_id bigint, toxic int")
     made = toxicity.score(odd, toxicity.train(odd, labels))
