@@ -39,6 +39,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 FILES_PER_BATCH = 1_000
+#: Spark ignores files this much older than the newest one seen; a thousand years, so none is.
+MAX_FILE_AGE = "365000d"
 
 
 def sha256(text: Column) -> Column:
@@ -69,7 +71,8 @@ def update_state(
     for key, value in STATE.items():
         session.conf.set(key, value)
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
-    arriving = session.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(pattern)
+    options = {"maxFilesPerTrigger": files_per_batch, "maxFileAge": MAX_FILE_AGE}
+    arriving = session.readStream.schema(schema).options(**options).parquet(pattern)
     keyed = (
         _rows(arriving, digest)
         .groupBy("digest")

@@ -1,7 +1,9 @@
 """Line and substring removal, exact duplicates, suffix arrays."""
 
 import hashlib
+import os
 import random
+import time
 
 import pytest
 from corpus_cases import CLASHES, SCHEMA, odd_rows, sentence, without_repeated_lines, without_repeats
@@ -180,5 +182,18 @@ def test_exact_dedup_state_outlives_a_run(spark):
     assert exact_dedup.deduplicate(spark, empty).count() == 0
 
 
+def test_exact_dedup_takes_late_files_of_any_age(spark):
+    path, home = scratch_path(spark, "stream"), scratch_path(spark, "state")
+    spark.createDataFrame([(1, "a"), (2, "b")], "doc_id bigint, text string").coalesce(1).write.parquet(path)
+    exact_dedup.deduplicate(spark, path, checkpoint=home).collect()
+    known = set(os.listdir(path))
+    spark.createDataFrame([(5, "a"), (4, "c")], "doc_id bigint, text string").coalesce(1).write.mode("append").parquet(path)
+    long_ago = time.time() - 400 * 86_400
+    for name in set(os.listdir(path)) - known:
+        os.utime(os.path.join(path, name), (long_ago, long_ago))
+    found = exact_dedup.deduplicate(spark, path, checkpoint=home).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in found} == {(1, 5, 2, False), (5, 5, 2, True), (2, 2, 1, True), (4, 4, 1, True)}
+
+
 def test_clashing_names_cover_the_operators():
     assert {"row", "batch", "doc", "kept", "c0"} <= set(CLASHES)
