@@ -1,15 +1,14 @@
-"""Repeated runs of lines, found by winnowing line hashes.
+"""Repeated runs of lines, found by digests of windows after a filter by winnowing.
 
 Lines that hold a word are hashed. From each window of ``run`` such lines the
 line of the least hash, the last of equals, is selected as fingerprint. Two runs
 of ``run`` equal lines select the same line at the same place, so every repeated
 run of that length or more has a fingerprint in common with its earlier self.
-Fingerprints that occur at one place only are dropped. Around the others the
-match is extended both ways, as far as windows that selected the fingerprint
-reach: windows of equal lines are grouped, and all but the first by document and
-position are repeats. Windows overlap, so a longer match is covered by the
-windows of its own fingerprints, and what is deleted are whole maximal runs: a
-line goes if it lies in a run of ``run`` lines that also begins earlier.
+Windows whose fingerprint occurs at one place only are dropped, which changes no
+result. The others are grouped by the digest of their lines, and all but the
+first by document and position are repeats. Windows overlap, so what is deleted
+are whole maximal runs: a line goes if it lies in a run of ``run`` lines that
+also begins earlier.
 
 A line that stands in a third of all documents is combined before the shuffle
 and meets its first place in a join that adaptive execution splits; no pairs of
