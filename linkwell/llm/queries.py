@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwell.llm import exact_dedup, line_dedup, minhash, packing, pieces, quality, sharding, suffix_dedup, toxicity, warc
+from linkwell.llm import (
+    exact_dedup, line_dedup, minhash, packing, pieces, quality, sharding, suffix_dedup, topk, toxicity, warc,
+)
 from linkwell.llm.common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +124,22 @@ def op1_factorization_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, machine).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op11_columnar_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+SQL["op11_columnar_top_k"] = """
+    WITH v AS MATERIALIZED (
+           SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id,
+                      coalesce(list_sum(list_transform(range(1, least(len(q.e), len(c.e)) + 1), lambda i: q.e[i] * c.e[i])), 0)::BIGINT
+                        AS score
+               FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
+         k AS (SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank, vec_id, score
+               FROM s)
+    SELECT * FROM k WHERE rank <= 5"""
