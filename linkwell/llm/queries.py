@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkwell.llm import (
-    exact_dedup, line_dedup, minhash, packing, pieces, quality, sharding, suffix_dedup, topk, toxicity, warc,
+    exact_dedup, line_dedup, merkle, minhash, packing, pieces, quality, sharding, suffix_dedup, topk, toxicity, warc,
 )
 from linkwell.llm.common import table, text_of
 
@@ -143,3 +143,71 @@ SQL["op11_columnar_top_k"] = """
          k AS (SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank, vec_id, score
                FROM s)
     SELECT * FROM k WHERE rank <= 5"""
+
+
+@query
+def op12_octopus_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    before, text = [F.col(c) for c in ("doc_id", "source", "lang")], F.col("text")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = F.col("n_chars").cast("decimal(20, 0)") + 1
+    rows = docs.select(
+        "doc_id", "lang", merkle.leaf_of(*before, F.col("n_chars"), text).alias("leaf"),
+        F.when(changed & more.isNotNull(), merkle.leaf_of(*before, more, text)).alias("claimed"),
+    )
+    proved = merkle.manifest(rows, group="lang", key="doc_id", keep=["doc_id", "claimed"])
+    folded = proved.withColumn("folded_root", merkle.fold(F.coalesce("claimed", "leaf"), F.col("steps")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned CRC-32 of ASCII text: eight shifts for each byte."""
+    bits = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))"
+    data = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {data}), lambda a, b: {bits}), 4294967295)"
+
+
+def _levels(name: str, by: str, source: str) -> str:
+    """CTEs of a tree for each value of ``by``: 24 levels, enough for 16 million leaves; a root stays as it is on higher ones."""
+    parts = [f"{name}_0 AS MATERIALIZED ({source})"]
+    for at in range(24):
+        parts.append(
+            f"{name}_{at + 1} AS MATERIALIZED (SELECT {by}, i // 2 AS i, "
+            f"CASE WHEN max(w) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h, (max(w) + 1) // 2 AS w "
+            f"FROM {name}_{at} GROUP BY {by}, i // 2)"
+        )
+    steps = " UNION ALL ".join(f"SELECT *, {at} AS lv FROM {name}_{at} WHERE w > 1" for at in range(24))
+    return ", ".join([*parts, f"{name} AS MATERIALIZED ({steps})"])
+
+
+SQL["op12_octopus_manifest"] = f"""
+    WITH d AS (SELECT *, CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS l FROM documents),
+         f AS (SELECT doc_id, l, lang, CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END
+                        || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END || l AS head,
+                      CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS tail, n_chars AS n
+               FROM d),
+         e AS (SELECT doc_id, l, lang, sha256(head || CASE WHEN n IS NULL THEN '-' ELSE strlen(n::VARCHAR) || ':' || n END || tail) AS leaf,
+                      sha256(head || CASE WHEN n IS NULL THEN '-' ELSE strlen((n + 1)::VARCHAR) || ':' || (n + 1) END || tail) AS other
+               FROM f),
+         p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY l ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM e),
+         {_levels("t", "l", "SELECT l, i, leaf AS h, count(*) OVER (PARTITION BY l) AS w FROM p")},
+         r AS MATERIALIZED (SELECT l, t_24.h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g
+                            FROM t_24 JOIN (SELECT DISTINCT l, lang FROM p) USING (l)),
+         {_levels("s", "z", "SELECT 0 AS z, g AS i, subroot AS h, count(*) OVER () AS w FROM r")},
+         a AS (SELECT p.doc_id, p.leaf, p.other, p.i, r.g, r.subroot, s_24.h AS root, l FROM p JOIN r USING (l), s_24),
+         b AS (SELECT a.l, a.i, t.lv, h.h AS h, (a.i >> t.lv) % 2 AS odd
+               FROM a JOIN (SELECT DISTINCT l, lv FROM t) t USING (l)
+               LEFT JOIN t h ON h.l = a.l AND h.lv = t.lv AND h.i = xor(a.i >> t.lv, 1)
+               UNION ALL
+               SELECT a.l, a.i, 100 + t.lv, h.h, (a.g >> t.lv) % 2
+               FROM a CROSS JOIN (SELECT DISTINCT lv FROM s) t LEFT JOIN s h ON h.lv = t.lv AND h.i = xor(a.g >> t.lv, 1)),
+         c AS (SELECT l, i, string_agg(coalesce(h, ''), '' ORDER BY lv) AS siblings,
+                      list(CASE WHEN odd = 1 THEN 'L' ELSE 'R' END || coalesce(h, '') ORDER BY lv) AS steps FROM b GROUP BY 1, 2),
+         v AS (SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256,
+                      list_reduce(list_prepend(CASE WHEN crc % 7 = 0 THEN other ELSE leaf END, coalesce(steps, [])),
+                                  lambda acc, x: sha256(CASE WHEN x[1] = 'L' THEN x[2:] || acc ELSE acc || x[2:] END)) AS folded_root
+               FROM (SELECT *, {_crc32("doc_id::VARCHAR")} AS crc FROM a) LEFT JOIN c USING (l, i))
+    SELECT *, folded_root = root AS verified FROM v"""
