@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkwell.llm import (
-    exact_dedup, line_dedup, merkle, minhash, packing, pieces, quality, sharding, suffix_dedup, topk, toxicity, warc,
+    exact_dedup, line_dedup, merkle, minhash, packing, pieces, quality, sharding, suffix_dedup, topk, toxicity, trie, warc,
 )
 from linkwell.llm.common import table, text_of
 
@@ -211,3 +211,34 @@ SQL["op12_octopus_manifest"] = f"""
                                   lambda acc, x: sha256(CASE WHEN x[1] = 'L' THEN x[2:] || acc ELSE acc || x[2:] END)) AS folded_root
                FROM (SELECT *, {_crc32("doc_id::VARCHAR")} AS crc FROM a) LEFT JOIN c USING (l, i))
     SELECT *, folded_root = root AS verified FROM v"""
+
+
+@query
+def op13_parentheses_trie(spark, sf_dir):
+    c = F.col("conv_id")
+    head = F.crc32(c.cast("string").cast("binary")) % 6
+    return trie.prefix_trie(trie.rebuilt(table(spark, sf_dir, "conversations"), c - c % 100, head, 5))
+
+
+SQL["op13_parentheses_trie"] = f"""
+    WITH s AS (SELECT conv_id, turn, left(sha256(strlen(r) || ':' || r || t), 32) AS g, length(t) AS n
+               FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+                     WHERE conv_id IS NOT NULL)),
+         o AS MATERIALIZED (SELECT conv_id, {_crc32("conv_id::VARCHAR")} % 6 AS h, list(g ORDER BY turn NULLS FIRST, g) AS gs,
+                                   list(n ORDER BY turn NULLS FIRST, g) AS ns FROM s GROUP BY conv_id),
+         b AS MATERIALIZED (SELECT o.conv_id, list_concat(coalesce(p.gs[1:o.h], []), o.gs[o.h + 1:]) AS gs,
+                                   list_concat(coalesce(p.ns[1:o.h], []), o.ns[o.h + 1:]) AS ns
+                            FROM o LEFT JOIN o p ON p.conv_id = o.conv_id - o.conv_id % 100),
+         m AS (SELECT conv_id, gs, ns, unnest(range(0, len(gs) + 1)) AS d FROM b),
+         c AS MATERIALIZED (SELECT gs[1:d] AS path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+                                   max(CASE WHEN d > 0 THEN ns[d] ELSE 0 END) AS n
+                            FROM m GROUP BY gs[1:d], d),
+         k AS MATERIALIZED (SELECT path[1:d - 1] AS path, count(*) AS n_children FROM c WHERE d > 0 GROUP BY 1),
+         w AS (SELECT c.path, d, (n_convs - 1) * n AS saved, n_children IS NULL AS leaf FROM c LEFT JOIN k USING (path)),
+         u AS (SELECT path, saved, leaf, unnest(range(0, d + 1)) AS a FROM w),
+         t AS (SELECT path[1:a] AS path, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (leaf) AS n_leaves FROM u GROUP BY 1),
+         e AS (SELECT gs AS path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS h FROM b GROUP BY 1)
+    SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+           saved_tokens, coalesce(h, sha256('')) AS ends_sha256
+    FROM c LEFT JOIN c p ON p.d = c.d - 1 AND p.path = c.path[1:c.d - 1] LEFT JOIN k ON k.path = c.path
+    JOIN t ON t.path = c.path LEFT JOIN e ON e.path = c.path"""
