@@ -10,9 +10,9 @@ that doesn't fit is cut, and its rest stays in the index. So every window of a
 shard is full but for the last tokens, which are cut at powers of two and need
 no padding either.
 
-Words are tokenized once by each worker while a bounded cache holds them. That is
-the tokenizer's own result, because it never joins characters across white space;
-one text of each batch is compared with a direct call.
+Words are tokenized once by each worker while a cache of bounded bytes holds them. That
+is the tokenizer's own result, because its file says that it cuts at white space and
+around runs of letters; a tokenizer of another kind is called with whole texts.
 
 Defined cases: a null text is empty and has the end id only. Repeated rows and ids
 are packed like others, each row's tokens once. A document longer than a window
@@ -22,13 +22,14 @@ sequences. Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,43 +40,228 @@ from linkwell.session import stage
 WINDOW, END_ID = 4096, 2
 TOKENS_PER_SHARD = 2_000_000
 K1, B = 1.2, 0.75
-CACHED_WORDS = 800_000
-
-
-class Words(dict):
-    """Packed token ids of words, found where unknown. The oldest half goes when there are too many."""
-
-    def __init__(self, tokenizer, most: int = CACHED_WORDS):
-        self.tokenizer, self.most, self.old = tokenizer, most, {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of texts. Words that are new to them all are tokenized in one call."""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self) > self.most // 2:
-            self.old = dict(self)
-            self.clear()
-        new, old = set().union(*cut).difference(self), self.old
-        for word in new.intersection(old):
-            self[word] = old[word]
-        parts = {w: _parts(w) for w in new.difference(old)}
-        missing = list(set(chain.from_iterable(parts.values())).difference(self))
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        self.update(zip(missing, (array("i", e.ids).tobytes() for e in found)))
-        for word, some in parts.items():
-            if len(some) == 2:
-                self[word] = self[some[0]] + self[some[1]]
-            elif some[0] is not word:
-                self[word] = self[some[0]]
-        of = self.__getitem__
-        return [np.frombuffer(b"".join(map(of, c)), np.int32) for c in cut]
-
-
-def _parts(word: str) -> tuple[str, ...]:
-    """What a word's ids can be put together from: its lower case, and a last stop or comma by itself."""
-    if not word.isascii() or "<" in word:  # special tokens are matched in the text as it stands
-        return (word,)
-    low = word.lower()
-    return (low[:-1], low[-1]) if len(low) > 1 and low[-1] in ".," and low[-2].isalpha() else (low,)
+CACHED_BYTES, BATCH_BYTES = 48_000_000, 4_000_000
+#: Words whose letters have one lower case each, whatever stands beside them, and no other composition.
+LATIN = r"^[\x00-\x{12F}\x{131}-\x{17F}]*$"
+WORD_END = "</w>"
+# The steps of a tokenizer file for which words may be tokenized by themselves and in lower case.
+LOWERING = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+RUNS = [
+    {
+        "type": "Split",
+        "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+        "behavior": "Removed",
+        "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+class Known:
+    """Token ids of words in few bytes: keyed by two hashes of 64 bits, in the order of the first.
+
+    The multipliers of the hashes are drawn anew by each process. Words that weren't
+    met since the last time go when there is more than ``most`` bytes.
+    """
+
+    LONGEST = 1024
+
+    def __init__(self, kind: type, most: int):
+        self.most = most
+        self.factors = np.frombuffer(os.urandom(16 * self.LONGEST), np.uint64).reshape(2, -1)
+        self.first, self.second = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.start, self.size, self.met = np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, bool)
+        self.ids = np.empty(0, kind)
+
+    def hashes(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of each word, from up to ``LONGEST`` of its bytes."""
+        ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+        size = np.diff(ends)
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].astype(np.uint64) + np.uint64(1)
+        place = (np.arange(len(data)) - np.repeat(ends[:-1] - ends[0], size)) % self.LONGEST
+        some = np.flatnonzero(size)
+        out = np.zeros((2, len(words)), np.uint64)
+        for i in (0, 1):
+            if len(some):
+                out[i, some] = np.add.reduceat(self.factors[i][place] * data, (ends[:-1] - ends[0])[some])
+        return out[0], out[1]
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Where words are held, -1 if they aren't."""
+        if not len(self.first):
+            return np.full(len(first), -1)
+        at = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
+        return np.where((self.first[at] == first) & (self.second[at] == second), at, -1)
+
+    def add(self, first: np.ndarray, second: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        start = len(self.ids) + np.cumsum(size) - size
+        order = np.argsort(first, kind="stable")
+        at = np.searchsorted(self.first, first[order])
+        for name, values in (("first", first), ("second", second), ("start", start), ("size", size)):
+            held = getattr(self, name)
+            setattr(self, name, np.insert(held, at, values[order].astype(held.dtype)))
+        self.met = np.insert(self.met, at, True)
+        self.ids = np.concatenate([self.ids, ids.astype(self.ids.dtype)])
+
+    def age(self) -> None:
+        for _ in range(2):
+            if self.ids.nbytes + 29 * len(self.first) <= self.most:
+                return
+            keep = self.met
+            self.ids = self.ids[_places(self.start[keep], self.size[keep].astype(np.int64))]
+            self.first, self.second, self.size = self.first[keep], self.second[keep], self.size[keep]
+            self.start = np.cumsum(self.size.astype(np.int64)) - self.size
+            self.met = np.zeros(len(self.first), bool)
+
+
+class Words:
+    """Token ids of texts, put together from those of their words.
+
+    Words of some texts are dictionary-encoded in Arrow, and only distinct ones that
+    aren't known are tokenized. For a tokenizer that lowers letters and never joins
+    runs of letters with anything else, words are looked up in lower case and without a
+    last stop or comma (Latin ones), and runs of letters are tokenized many to a call. Other
+    tokenizers get the whole texts.
+    """
+
+    def __init__(self, content: str, most: int = CACHED_BYTES):
+        from tokenizers import Tokenizer
+
+        spec = json.loads(content)
+        self.tokenizer = Tokenizer.from_str(content)
+        split = spec["pre_tokenizer"]
+        self.by_words = bool(
+            spec["normalizer"] == LOWERING and split and split.get("pretokenizers") == RUNS and spec["model"].get("end_of_word_suffix") == WORD_END
+            and not any(" " in t["content"] or t["content"].isalpha() for t in spec["added_tokens"])
+        )
+        if not self.by_words:
+            return
+        # small Latin letters stay as they are under all steps but the last, which spells bytes, so the model alone does
+        plain = spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        self.plain = Tokenizer.from_str(json.dumps(plain))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        self.stops = [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.int32) for t in ".,"]
+        self.known = Known(np.uint16 if len(self.ends) <= 1 << 16 else np.int32, most)
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, one after another, and how many each has."""
+        plain, latin, other, rest = [], [], [], []
+        for i, w in enumerate(words):
+            if not w.isalpha():
+                rest.append(i)
+            elif w.isascii():
+                plain.append(i)
+            else:
+                (latin if max(w) < "\u0180" and w.islower() else other).append(i)
+        order, parts, sizes = [], [], []
+        for some, tokenizer in ((plain, self.plain), (latin, self.plain), (other, self.tokenizer)):
+            cut = [some[i : i + 1000] for i in range(0, len(some), 1000)]
+            texts = [" ".join([words[i] for i in c]) for c in cut]
+            if some is latin:
+                texts = [t.translate(_SPELLED) for t in texts]
+            for own, done in zip(cut, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(done.ids, np.int32)
+                ends = np.flatnonzero(self.ends[ids])
+                if len(ends) == len(own):  # each word has one end at least, so each has just one
+                    order.append(own)
+                    parts.append(ids)
+                    sizes.append(np.diff(ends, prepend=-1))
+                else:
+                    rest.extend(own)
+        alone = [e.ids for e in self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)]
+        order.append(rest)
+        parts.append(np.array(list(chain.from_iterable(alone)), np.int32))
+        sizes.append(np.array(list(map(len, alone)), np.int64))
+        back = np.argsort(np.concatenate(order).astype(np.int64), kind="stable")
+        return _take(np.concatenate(parts), np.concatenate(sizes), back)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after another, and how many each has."""
+        if not self.by_words:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.array(list(chain.from_iterable(found)), np.int32), np.array(list(map(len, found)), np.int64)
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        offsets = cut.offsets.to_numpy()
+        words = cut.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        raw = words.dictionary
+        latin = pc.match_substring_regex(raw, LATIN)
+        low = pc.if_else(latin, pc.utf8_lower(raw), raw)
+        stopped = pc.and_(latin, pc.match_substring_regex(raw, r"\p{L}[.,]$"))
+        bases = pc.if_else(stopped, pc.utf8_slice_codeunits(low, 0, -1), low).dictionary_encode()
+        known, stopped = self.known, stopped.to_numpy(zero_copy_only=False)
+        known.age()
+        first, second = known.hashes(bases.dictionary)
+        at = known.find(first, second)
+        new = np.flatnonzero((at < 0) | (pc.binary_length(bases.dictionary).to_numpy() > Known.LONGEST))
+        start, size = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        if len(known.first):
+            start, size = known.start[at], known.size[at].astype(np.int64)
+            known.met[at[at >= 0]] = True
+        if len(new):
+            ids, own = self._learn(bases.dictionary.take(pa.array(new)).to_numpy(zero_copy_only=False).tolist())
+            start[new], size[new] = len(known.ids) + np.cumsum(own) - own, own
+            known.add(first[new], second[new], ids, own)
+
+        base = bases.indices.to_numpy()
+        own = size[base]
+        ids = known.ids[_places(start[base], own)].astype(np.int32)
+        if stopped.any():
+            comma = pc.match_substring_regex(raw, ",$").to_numpy(zero_copy_only=False)[stopped].astype(int)
+            values, more = _take(np.concatenate(self.stops), np.array(list(map(len, self.stops))), comma)
+            ids = np.insert(ids, np.repeat(np.cumsum(own)[stopped], more), values)
+            own[stopped] += more
+        ids, own = _take(ids, own, words.indices.to_numpy())
+        return ids, np.diff(np.concatenate([[0], np.cumsum(own)])[offsets - offsets[0]])
+
+
+_NONE = np.empty(0, np.int32)
+
+
+def _spelled() -> dict[int, str]:
+    """Latin letters beyond ASCII as byte-level tokenizers spell their bytes: printable bytes as themselves, others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    of = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return {c: "".join(of[b] for b in chr(c).encode()) for c in range(128, 0x180)}
+
+
+_SPELLED = _spelled()
+
+
+def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of runs, one after another."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def _take(store: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of values, of their sizes one after another, taken in the order of ``which``."""
+    own = size[which]
+    return store[_places((np.cumsum(size) - size)[which], own)], own
+
+
+def _by_bytes(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that hold so many bytes at most, or one text."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy())
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, side="right")))
+        yield at, to
+        at = to
+
+
+def _segments(text: str, most: int) -> Iterator[str]:
+    """A text cut before spaces into pieces of about so many characters."""
+    at = 0
+    while at < len(text):
+        to = text.find(" ", at + most)
+        to = len(text) if to < 0 else to
+        yield text[at:to]
+        at = to
 
 
 _words: dict[int, Words] = {}
@@ -85,10 +271,8 @@ def _words_of(content: str) -> Words:
     """The words of a tokenizer, kept from task to task by a worker process."""
     key = hash(content)
     if key not in _words:
-        from tokenizers import Tokenizer
-
         _words.clear()
-        _words[key] = Words(Tokenizer.from_str(content))
+        _words[key] = Words(content)
     return _words[key]
 
 
@@ -115,12 +299,14 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> Da
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         words = _words_of(content.value.decode("utf-8"))
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                texts = part.column(1).to_pylist()
-                ids = [np.append(i, tail) for i in words.encode(texts)]
-                if ids[0].tolist() != words.tokenizer.encode(texts[0], add_special_tokens=False).ids + tail.tolist():
-                    raise ValueError("this tokenizer joins characters across white space")
+            for lo, hi in _by_bytes(batch.column(1), BATCH_BYTES):
+                part = batch.slice(lo, hi - lo)
+                if hi - lo == 1 and words.by_words:
+                    found = [words.encode(pa.array([x]))[0] for x in _segments(part.column(1)[0].as_py(), BATCH_BYTES)]
+                    flat, size = np.concatenate([_NONE, *found]), np.array([sum(map(len, found))])
+                else:
+                    flat, size = words.encode(part.column(1))
+                ids = [np.append(i, tail) for i in np.split(flat, np.cumsum(size)[:-1])]
                 offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays(
