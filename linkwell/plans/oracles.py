@@ -430,7 +430,7 @@ def all_sql() -> dict[str, str]:
         "from lists"
     )
     out["blocking_job"] = f"{pairs_sql(INDEX, 'unicode')}, {LISTS} select * from lists"
-    out["explode_candidates"] = out["block_capped"]
+    out["explode_candidates"] = f"{pairs_sql(CAPPED)} select * from pairs"
 
     out["candidate_coverage"] = f"""{pairs_sql(CAPPED)}, {COUNTS}
 select cast(sum(n) as bigint) as total_pairs, count(*) as s1_covered, (select count(*) from s1) as total_s1,
