@@ -7,6 +7,8 @@ thresholds are counted one by one.
 
 from __future__ import annotations
 
+from linkwell.plans.oracles_further import further_sql
+
 CAP4, CAP6, TOKENS, LIMIT = 10, 20, 5, 0.6
 
 # --- derived records ---------------------------------------------------------------------------
@@ -530,4 +532,5 @@ union all
 select 'V8', id, c from single where c not in (select entity_id from ent where source <> 'S1')
 union all
 select 'V9', id, c from single where (id, c) not in (select source1_entity_id, candidate_entity_id from pairs)"""
+    out.update(further_sql(records_sql))
     return out

@@ -493,3 +493,6 @@ def resolve_end_to_end(spark, sf_dir):
         F.col("_strange").isNull().alias("all_candidates"),
         (F.array_sort(F.array_distinct(ids)) == ids).alias("in_order"),
     )
+
+
+from linkwell.plans import further  # noqa: E402, F401  registers its queries by what is defined above
