@@ -1,14 +1,17 @@
-"""Repeated runs of lines, found by digests of windows after a filter by winnowing.
-
-Lines that hold a word are hashed. From each window of ``run`` such lines the
-line of the least hash, the last of equals, is selected as fingerprint. Two runs
-of ``run`` equal lines select the same line at the same place, so every repeated
-run of that length or more has a fingerprint in common with its earlier self.
-Windows whose fingerprint occurs at one place only are dropped, which changes no
-result. The others are grouped by the digest of their lines, and all but the
-first by document and position are repeats. Windows overlap, so what is deleted
-are whole maximal runs: a line goes if it lies in a run of ``run`` lines that
-also begins earlier.
+"""Repeated runs of lines, found by winnowing over line hashes.
+
+Lines that hold a word are hashed. What counts as a run is ``run`` consecutive such
+lines, or a single one of ``alone_words`` words or more. From each window of ``run``
+lines the line of the least hash, the last of equals, is selected as fingerprint; a
+line that is a run by itself is one. Windows of such lines only need no other.
+Selected places, each once, are what is shuffled. Those whose hash stands at two
+places or more are joined with their earlier places and extended to both sides as
+far as their windows reach: by the digests of the lines a place is compared with
+the first one that goes on alike to the left, with the first to the right and with
+the first of the line itself, so a match that ends with one earlier place goes on
+with another. A longer repeat is a chain of such steps, as each of its windows has a
+fingerprint. All but the first by document and position are repeats, and a line
+goes if a repeated run covers it.
 
 A line that stands in a third of all documents is combined before the shuffle
 and meets its first place in a join that adaptive execution splits; no pairs of
@@ -22,20 +25,29 @@ rows and other columns stay as they are; names of the input may be any.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkwell.llm.common import text_of
+from linkwell.llm.common import text_of, words_of
 from linkwell.session import stage
 
-RUN = 2
+RUN, ALONE_WORDS = 2, 10
+
+
+def _n_words(line: Column) -> Column:
+    return F.size(words_of(line))
+
 
+def _span(ahead: Column, length: int, lines: Column) -> Column:
+    digest = F.unhex(F.md5(lines.cast("binary")))
+    return F.struct(ahead.cast("int").alias("ahead"), F.lit(length).alias("length"), digest.alias("digest"))
 
-def dedup_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+
+def dedup_lines(docs: DataFrame, run: int = RUN, alone_words: int = ALONE_WORDS) -> DataFrame:
     """``docs`` with later repeated runs deleted from ``text``, and ``n_lines``, ``n_removed`` and ``n_runs``.
 
     New columns replace columns of their names. Runs jobs: the numbered rows and
-    the repeated windows are staged.
+    the fingerprints are staged.
     """
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     rows = stage(
@@ -44,38 +56,45 @@ def dedup_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     text, lines = F.col(names["text"]), F.split(text_of(names["text"]), "\n")
     has_word = lambda x: x.rlike(r"[^\x20\x09-\x0D]")
     worded = F.filter(F.transform(lines, lambda x, j: F.struct(x.alias("x"), j.alias("j"))), lambda s: has_word(s["x"]))
-    select = lambda part: F.array_min(
-        F.transform(part, lambda s, k: F.struct(F.xxhash64(s["x"]).alias("h"), (-k).alias("back")))
-    )
+    hashed = F.transform("worded", lambda s: F.struct(
+        F.xxhash64(s["x"]).alias("h"), s["x"].alias("x"), (_n_words(s["x"]) >= alone_words).alias("alone")))
+
+    def spans(p):
+        """Of the windows that hold place ``p`` those that select it, and the line if it is a run: where ``p`` is in them, length, digest."""
+        own = F.get(F.col("hashed"), p)
+
+        def window(ahead):
+            part = F.slice(F.col("hashed"), p - ahead + 1, F.lit(run))
+            before, after = F.slice(part, F.lit(1), ahead), F.slice(part, ahead + 2, F.lit(run))
+            least = F.forall(before, lambda s: s["h"] >= own["h"]) & F.forall(after, lambda s: s["h"] > own["h"])
+            return F.when(least & F.exists(part, lambda s: ~s["alone"]), _span(ahead, run, F.array_join(F.transform(part, lambda s: s["x"]), "\n")))
 
-    def window(i):
-        part = F.slice(F.col("worded"), i + 1, F.lit(run))
-        texts = F.transform(part, lambda s: s["x"])
-        key = F.unhex(F.md5(F.array_join(texts, "\n").cast("binary")))
-        return F.struct(i.alias("at"), select(part).alias("least"), key.alias("key"))
+        inside = F.filter(F.sequence(F.lit(0), F.lit(run - 1)), lambda a: (p - a >= 0) & (p - a + run <= F.size("hashed")))
+        alone = F.when(own["alone"], _span(F.lit(0), 1, own["x"]))
+        return F.array_compact(F.concat(F.transform(inside, window), F.array(alone)))
 
-    starts = F.sequence(F.lit(0), F.size("worded") - run)
-    windows = stage(
+    places = F.transform(F.sequence(F.lit(0), F.size("hashed") - 1), lambda p: F.struct(
+        p.alias("place"), F.get(F.col("hashed"), p)["h"].alias("print"), spans(p).alias("spans")))
+    prints = stage(
         rows.select("row", F.col(names["doc_id"]).alias("doc"), worded.alias("worded"))
-        .filter(F.size("worded") >= run)
-        .select("row", "doc", F.explode(F.transform(starts, window)).alias("w"))
-        .select(
-            "row", "doc", "w.at", "w.key", F.col("w.least.h").alias("print"),
-            (F.col("w.at") - F.col("w.least.back")).alias("place"),
-        ),
-        "windows",
+        .filter(F.size("worded") > 0)
+        .select("row", "doc", hashed.alias("hashed"))
+        .select("row", "doc", F.explode(F.filter(places, lambda s: F.size(s["spans"]) > 0)).alias("s"))
+        .select("row", "doc", "s.place", "s.print", "s.spans"),
+        "fingerprints",
     )
     ends = [f(c).alias(f"{n}_{c}") for c in ("row", "place") for n, f in (("lo", F.min), ("hi", F.max))]
-    shared = windows.groupBy("print").agg(*ends).filter("lo_row != hi_row or lo_place != hi_place").select("print")
-    near = windows.join(shared, "print", "left_semi")
-    begin = F.struct("doc", "row", "at")
-    ahead = F.col("place") - F.col("at")
-    near = near.withColumn("ahead", ahead).withColumn("begin", begin)
-    firsts = near.groupBy("print", "ahead", "key").agg(F.min("begin").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    repeats = near.join(firsts, ["print", "ahead", "key"]).filter("begin != first").select("row", "at")
+    shared = prints.groupBy("print").agg(*ends).filter("lo_row != hi_row or lo_place != hi_place").select("print")
+    near = prints.join(shared, "print", "left_semi").withColumn("begin", F.struct("doc", "row", "place"))
+    near = near.select("print", "begin", F.explode("spans").alias("span"))
+    same = ["print", "span"]
+    firsts = near.groupBy(*same).agg(F.min("begin").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    at = F.col("begin.place") - F.col("span.ahead")
+    repeats = near.join(firsts, same).filter("begin != first").select(
+        "begin.row", F.struct(at.alias("at"), (at + F.col("span.length") - 1).alias("to")).alias("at"))
     gone = repeats.groupBy("row").agg(F.sort_array(F.collect_set("at")).alias("starts"))
 
-    every = F.array_distinct(F.flatten(F.transform("starts", lambda i: F.sequence(i, i + run - 1))))
+    every = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s["at"], s["to"]))))
     cut = rows.join(gone, "row", "left").withColumn("worded", worded).withColumn("lines", lines)
     cut = cut.withColumn("gone", F.coalesce(every, F.array().cast("array<int>")))
     runs = F.aggregate(

@@ -96,7 +96,10 @@ SQL["op4_winnowed_line_dedup"] = r"""
                FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') WINDOW d AS (PARTITION BY doc_id ORDER BY j)),
          r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY line, after ORDER BY doc_id, i) > 1 AS again
                FROM w WHERE after IS NOT NULL),
-         g AS (SELECT doc_id, i FROM r WHERE again UNION SELECT doc_id, i + 1 FROM r WHERE again),
+         a AS (SELECT doc_id, i, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) > 1 AS again
+               FROM w WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 10),
+         g AS (SELECT doc_id, i FROM r WHERE again UNION SELECT doc_id, i + 1 FROM r WHERE again
+               UNION SELECT doc_id, i FROM a WHERE again),
          n AS (SELECT w.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
                       count(g.i) FILTER (b.i IS NULL) AS n_runs
                FROM w LEFT JOIN g USING (doc_id, i) LEFT JOIN g b ON b.doc_id = g.doc_id AND b.i = g.i - 1 GROUP BY 1),

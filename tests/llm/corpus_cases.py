@@ -88,17 +88,22 @@ def without_repeats(texts, length=100):
     return out
 
 
-def without_repeated_lines(texts, run=2):
+def without_repeated_lines(texts, run=2, alone=10):
+    """Texts without lines that lie in a run that begins earlier: so many lines, or one of so many words."""
     seen, out = set(), []
     for text in texts:
         lines = (text or "").split("\n")
         worded = [j for j, x in enumerate(lines) if WORD.search(x)]
         gone = set()
-        for i in range(len(worded) - run + 1):
-            key = tuple(lines[j] for j in worded[i : i + run])
-            if key in seen:
-                gone.update(worded[i : i + run])
-            seen.add(key)
+        for i in range(len(worded)):
+            own = [worded[i : i + run]] if i + run <= len(worded) else []
+            if len(WORD.findall(lines[worded[i]])) >= alone:
+                own.append(worded[i : i + 1])
+            for part in own:
+                key = tuple(lines[j] for j in part)
+                if key in seen:
+                    gone.update(part)
+                seen.add(key)
         out.append(("\n".join(x for j, x in enumerate(lines) if j not in gone), len(worded), len(gone)))
     return out
 

@@ -49,6 +49,23 @@ def test_line_runs_of_other_lengths(spark, run):
     assert found == dict(enumerate(without_repeated_lines(texts, run)))
 
 
+def test_lines_that_are_runs_by_themselves(spark):
+    """A paragraph of one line, copies of one line, a line of a third of all texts, and short lines beside long ones."""
+    rng = random.Random(21)
+    paragraph = sentence(rng, 60)
+    texts = [sentence(rng, 20) + "\n" + paragraph + "\n" + sentence(rng, 20) for _ in range(5)]
+    texts += [sentence(rng, 15)] * 2 + ["too short"] * 2
+    texts += [sentence(rng, 12) + "\nfooter of nine words " + "that all the third have\n" + paragraph for _ in range(4)]
+    pool = [sentence(rng, n) for n in (1, 2, 3, 12, 12, 30)]
+    texts += ["\n".join(rng.choice(pool) for _ in range(rng.randint(1, 9))) for _ in range(40)]
+    texts += [f"{sentence(rng, 3)}\nread more\n{sentence(rng, 3)}" for _ in range(30)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    for alone in (10, 1000):
+        found = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(frame, alone_words=alone).collect()}
+        assert found == dict(enumerate(without_repeated_lines(texts, alone=alone)))
+    assert paragraph not in "".join(t for t, *_ in list(without_repeated_lines(texts))[1:5])
+
+
 def test_line_dedup_of_odd_rows(spark, odd):
     made = line_dedup.dedup_lines(odd)
     assert set(odd.columns) <= set(made.columns)
