@@ -18,8 +18,14 @@ compared, and consecutive windows of one anchor form a segment.
    distinct runs, through a suffix array built by Lyndon grouping
    (:mod:`linkwell.llm.suffix_array`): windows that share their first ``length``
    bytes are neighbours in it, and all but the first of them are repeats.
+   An anchor with more than ``HOT_SEGMENTS`` segments is not brought together: its
+   first segment is found by an aggregate and joined back, segments are matched with
+   it row by row wherever they are, and windows that this leaves open are grouped by
+   their digest.
 4. Repeats return to their batch, where covered bytes are removed.
 
+A batch holds texts of one class of sizes, fewer the longer they are, so it has at
+most ``BATCH_BYTES`` or one text. There are as many buckets as the bytes ask for.
 Documents are written once, bucketed by batch, so they are not shuffled.
 
 Defined cases: documents are in the order of doc_id, null first, and rows of one
@@ -36,19 +42,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkwell.llm.common import text_of
 from linkwell.llm.suffix_array import suffix_array
-from linkwell.session import scratch_path, shuffle_tasks, stage
+from linkwell.session import scratch_path, shuffle_tasks, stage, stage_counted
 
 LENGTH, GRAM = 100, 32
 BATCH_BITS = 10
 CHUNK = 1 << 22
 PLACE_BITS = 24
 BLOCK_SEGMENTS = 100_000
+HOT_SEGMENTS = 1_000
+BATCH_BYTES = 1 << 24
+PRINTS_PER_BUCKET = 1 << 22
+#: About so many bytes of text have an anchor of their own.
+BYTES_PER_PRINT = 32
 _LETTER = np.random.default_rng(77).integers(1, (1 << 64) - 1, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 
@@ -292,8 +303,52 @@ def _by_suffixes(first: dict[bytes, tuple[tuple, int]], length: int) -> list[tup
     return out
 
 
-def _compare(cut: DataFrame, tasks: int, length: int) -> DataFrame:
+def _compare(cut: DataFrame, tasks: int, length: int, hot_segments: int) -> DataFrame:
     """Repeated windows of the segments that were the first in their batches."""
+    fresh = cut.filter(F.col("print").isNotNull()).select("print", "doc", "row", "start", "ahead", "bytes", "batch")
+    counted = fresh.groupBy("print").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_segments)
+    hot, n = stage_counted(counted.select("print"), "hot_anchors")
+    if not n:
+        return _compare_together(fresh, tasks, length)
+    alone = _compare_apart(stage(fresh.join(hot, "print", "left_semi"), "hot_segments"), length)
+    return _compare_together(fresh.join(hot, "print", "left_anti"), tasks, length).unionByName(alone)
+
+
+def _compare_apart(fresh: DataFrame, length: int) -> DataFrame:
+    """The same for anchors of many segments, none of which are brought together."""
+    order = F.struct("doc", "row", "start")
+    base = fresh.groupBy("print").agg(F.min_by(F.struct("row", "start", "ahead", "bytes"), order).alias("base"))
+    base = base.select("print", *[F.col(f"base.{c}").alias(f"base_{c}") for c in ("row", "start", "ahead", "bytes")])
+
+    def run(batches):
+        names = ["row", "start", "ahead", "bytes", "doc", "batch", "base_row", "base_start", "base_ahead", "base_bytes"]
+        for batch in batches:
+            rows = []
+            for row, start, ahead, content, doc, number, *first in zip(*(batch.column(c).to_pylist() for c in names)):
+                if [row, start] == first[:2]:
+                    continue
+                found, left = _settle(row, start, ahead, content, first[2], first[3], length)
+                rows += [(number, doc, *f, None) for f in found]
+                for at, part in left:
+                    for i in range(len(part) - length + 1):
+                        rows.append((number, doc, row, at + i, at + i, hashlib.md5(part[i : i + length]).digest()))
+            kinds = [*[pa.int64()] * 5, pa.binary()]
+            columns = list(zip(*rows)) or [()] * 6
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["batch", "doc", "row", "first", "last", "digest"]
+            )
+
+    met = fresh.join(base, "print").mapInArrow(run, "batch long, doc long, row long, first long, last long, digest binary")
+    found = stage(met, "hot_windows")
+    open_ = found.filter(F.col("digest").isNotNull()).withColumn("place", F.struct("doc", "row", "first"))
+    firsts = open_.groupBy("digest").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = open_.join(firsts, "digest").filter("place != least")
+    columns = ["batch", "row", "first", "last"]
+    return found.filter(F.col("digest").isNull()).select(columns).unionByName(again.select(columns))
+
+
+def _compare_together(fresh: DataFrame, tasks: int, length: int) -> DataFrame:
+    """The same for anchors whose segments fit in one list."""
 
     def run(batches):
         held, count = [], 0
@@ -327,32 +382,34 @@ def _compare(cut: DataFrame, tasks: int, length: int) -> DataFrame:
                 ["batch", "row", "first", "last"],
             )
 
-    fresh = cut.filter(F.col("print").isNotNull())
     dealt = fresh.repartition(tasks, "print").sortWithinPartitions("print", "doc", "row", "start")
     return dealt.mapInArrow(run, "batch long, row long, first long, last long")
 
 
+def _settle(row: int, start: int, ahead: int, content: bytes, base_ahead: int, base: bytes, length: int) -> tuple[list, list]:
+    """Windows of a segment that equal some of the first one's (row, from, to), and the runs of others (number, bytes)."""
+    lo = ahead - _shared_ends(content[:ahead][::-1], base[:base_ahead][::-1])
+    hi = ahead + _shared_ends(content[ahead:], base[base_ahead:]) - length
+    if lo > hi:
+        return [], [(start, content)]
+    left = [(start, content[: lo - 1 + length])] if lo > 0 else []
+    if hi < len(content) - length:
+        left.append((start + hi + 1, content[hi + 1 :]))
+    return [(row, start + lo, start + hi)], left
+
+
 def _match(items: list[tuple], pool: list, out: list, length: int) -> None:
     """Compare the segments of an anchor with the first; what it doesn't settle goes to the pool."""
     _, _, _, _, base_ahead, base, _ = items[0]
     seen = {(base_ahead, base)}
-    base_left, base_right = base[:base_ahead][::-1], base[base_ahead:]
     for _, doc, row, start, ahead, content, _ in items[1:]:
-        windows = len(content) - length
         if (ahead, content) in seen:
-            out.append((row, start, start + windows))
+            out.append((row, start, start + len(content) - length))
             continue
         seen.add((ahead, content))
-        lo = ahead - _shared_ends(content[:ahead][::-1], base_left)
-        hi = ahead + _shared_ends(content[ahead:], base_right) - length
-        if lo <= hi:
-            out.append((row, start + lo, start + hi))
-            if lo > 0:
-                pool.append(((doc, row), start, content[: lo - 1 + length]))
-            if hi < windows:
-                pool.append(((doc, row), start + hi + 1, content[hi + 1 :]))
-        else:
-            pool.append(((doc, row), start, content))
+        found, left = _settle(row, start, ahead, content, base_ahead, base, length)
+        out.extend(found)
+        pool.extend(((doc, row), at, part) for at, part in left)
 
 
 def _removed(docs: DataFrame, repeats: DataFrame, columns: list[str], length: int) -> DataFrame:
@@ -388,18 +445,41 @@ def _removed(docs: DataFrame, repeats: DataFrame, columns: list[str], length: in
     return docs.groupBy("batch").cogroup(repeats.groupBy("batch")).applyInArrow(run, schema)
 
 
-def _bucketed(spark: SparkSession, docs: DataFrame, tasks: int) -> DataFrame:
-    name = f"suffix_documents_{uuid.uuid4().hex}"
-    docs.write.option("path", scratch_path(spark, name)).bucketBy(tasks, "batch").sortBy("batch").saveAsTable(name)
-    return spark.table(name)
+def _bucketed(spark: SparkSession, docs: DataFrame, tasks: int) -> tuple[DataFrame, int]:
+    """The rows, bucketed by batch, and the bytes of their texts."""
+    name, seen = f"suffix_documents_{uuid.uuid4().hex}", Observation()
+    counted = docs.observe(seen, F.sum(F.octet_length("text").cast("long")).alias("bytes"))
+    counted.write.option("path", scratch_path(spark, name)).bucketBy(tasks, "batch").sortBy("batch").saveAsTable(name)
+    return spark.table(name), seen.get["bytes"] or 0
+
+
+def batch_of(row: Column, size: Column, batch_bits: int, batch_bytes: int) -> Column:
+    """Number of the batch of a row whose text has so many bytes.
+
+    Up to the bytes that ``2 ** batch_bits`` texts may have each, so many consecutive
+    rows share a batch; for texts up to 8, 64, ... times as long an eighth, a 64th, ...
+    The class of sizes is the number's lowest decimal digit.
+    """
+    out, bits, most = F.lit(None).cast("long"), batch_bits, batch_bytes >> batch_bits
+    for kind in range(9):
+        out = F.coalesce(out, F.when((size <= most) | F.lit(bits == 0), F.shiftright(row, bits) * 10 + kind))
+        bits, most = max(0, bits - 3), most << 3
+    return out
 
 
-def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bits: int = BATCH_BITS) -> DataFrame:
+def dedup_substrings(
+    docs: DataFrame,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    batch_bits: int = BATCH_BITS,
+    batch_bytes: int = BATCH_BYTES,
+    hot_segments: int = HOT_SEGMENTS,
+) -> DataFrame:
     """``docs`` with ``kept`` (remaining bytes), ``n_bytes``, ``n_removed`` and ``n_spans`` in place of ``text``. Runs jobs.
 
     New columns replace columns of their names.
 
-    A batch has ``2 ** batch_bits`` rows at most.
+    A batch has ``2 ** batch_bits`` rows and ``batch_bytes`` bytes at most, or one row.
     """
     spark = docs.sparkSession
     tasks = shuffle_tasks(spark)
@@ -407,11 +487,13 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ba
     row = F.monotonically_increasing_id()
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     rows = docs.select(row.alias("row"), order.alias("doc"), text_of().alias("text"), *[F.col(c).alias(v) for c, v in own.items()])
-    held = _bucketed(spark, rows.withColumn("batch", F.shiftright("row", batch_bits)), tasks)
-    marks = stage(_marked(_sent(held, tasks, length, gram)), "marks")
+    number = batch_of(F.col("row"), F.octet_length("text"), batch_bits, batch_bytes)
+    held, size = _bucketed(spark, rows.withColumn("batch", number), tasks)
+    buckets = max(tasks, -(-size // (BYTES_PER_PRINT * PRINTS_PER_BUCKET)))
+    marks = stage(_marked(_sent(held, buckets, length, gram)), "marks")
     cut = stage(_cut(held, marks, length, gram), "segments")
     local = cut.filter(F.col("print").isNull()).select("batch", "row", "first", "last")
-    repeats = stage(local.unionByName(_compare(cut, tasks, length)), "repeats")
+    repeats = stage(local.unionByName(_compare(cut, tasks, length, hot_segments)), "repeats")
     done = _removed(held, repeats, ["text", *own.values()], length)
     made = ["kept", "n_bytes", "n_removed", "n_spans"]
     return done.select(*[F.col(v).alias(c) for c, v in own.items() if c not in made], *made)

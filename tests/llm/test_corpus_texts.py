@@ -214,3 +214,39 @@ def test_exact_dedup_takes_late_files_of_any_age(spark):
 
 def test_clashing_names_cover_the_operators():
     assert {"row", "batch", "doc", "kept", "c0"} <= set(CLASHES)
+
+
+def test_a_hot_anchor_is_not_brought_together(spark, monkeypatch):
+    """A phrase of 60 bytes in all texts, between shared and unshared surroundings: windows are decided apart, and right."""
+    together = []
+    match = suffix_dedup._match
+    monkeypatch.setattr(suffix_dedup, "_match", lambda items, *rest: together.append(len(items)) or match(items, *rest))
+    rng = random.Random(15)
+    phrase = sentence(rng, 30)[:60]
+    edges = [sentence(rng, 12) for _ in range(4)]
+    texts = [(rng.choice(edges) if rng.random() < 0.4 else sentence(rng, 12)) + phrase + (rng.choice(edges) if rng.random() < 0.4 else sentence(rng, 12)) for _ in range(120)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    for hot in (5, 10_000):
+        found = suffix_dedup.dedup_substrings(frame, batch_bits=2, hot_segments=hot).collect()
+        assert {r.doc_id: (bytes(r.kept), r.n_removed, r.n_spans) for r in found} == dict(enumerate(without_repeats(texts)))
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    sizes = [0, 10, 16_384, 16_385, 131_072, 131_073, 1 << 20, 1 << 21, 1 << 24, 1 << 26]
+    rows_ = [(i, sizes[i % len(sizes)]) for i in range(4000)]
+    frame = spark.createDataFrame(rows_, "row bigint, size bigint")
+    made = frame.withColumn("batch", suffix_dedup.batch_of(F.col("row"), F.col("size"), 10, 1 << 24))
+    for r in made.groupBy("batch").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"), F.max("row").alias("hi"), F.min("row").alias("lo")).collect():
+        assert r.n <= 1024 and (r.bytes <= 1 << 24 or r.n == 1) and r.hi - r.lo < 1024
+
+
+def test_texts_of_many_megabytes(spark):
+    rng = random.Random(16)
+    part = sentence(rng, 300_000)
+    texts = ["short " + part[5_000:5_300], part * 6, part[7:1000], part]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r for r in suffix_dedup.dedup_substrings(frame).collect()}
+    n = len(part)
+    assert len(texts[1]) > 7_000_000 and found[1].n_bytes == 6 * n
+    # the second has the passage of the first, and all but its own first turn again
+    assert found[0].n_removed == 0 and found[1].n_removed == 300 + 5 * n and found[2].n_removed == 993 and found[3].n_removed == n
