@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkwell.operators import running, setjoin, temporal
-from linkwell.plans.registry import query, sides
+from linkwell.plans.registry import query, records, sides
+from linkwell.session import scratch_path
 from linkwell.sources import files
+from linkwell.streaming.linkage import link_files
 
 SIMILAR, LOOSE = 80, 50
 
@@ -35,6 +37,19 @@ def block_similar_addresses(spark, sf_dir):
     return setjoin.block_similar(*sides(spark, sf_dir), percent=60, column="address_norm")
 
 
+# --- arriving records --------------------------------------------------------------------------
+
+
+@query
+def link_incrementally(spark, sf_dir):
+    """Records that arrive in files, two at a time, and meet those of earlier files by exact name or by country and prefix."""
+    raw, out, state = (scratch_path(spark, n) for n in ("arriving", "pairs", "state"))
+    arriving = records(spark, sf_dir, "ascii").select("entity_id", "name_norm", "country_norm", "source")
+    arriving.repartition(4, "entity_id").write.parquet(raw)
+    link_files(spark, raw, out, state, arriving.schema, files_per_batch=2).awaitTermination()
+    return spark.read.parquet(out)
+
+
 # --- along time --------------------------------------------------------------------------------
 
 

@@ -411,6 +411,7 @@ def all_sql() -> dict[str, str]:
         "block_token": (TOKEN, "unicode"),
         "token_cap": (SMALL_TOKEN_CAPPED, "unicode"),
         "block_index": (INDEX, "unicode"),
+        "link_incrementally": (f"select distinct * from ({EXACT} union all {prefix_sql(4)})", "ascii"),
         "block_prefix4_capped": (prefix_sql(4, CAP4), "ascii"),
         "block_prefix6_capped": (prefix_sql(6, CAP6), "ascii"),
         "block_capped": (SMALL_CAPPED, "ascii"),
