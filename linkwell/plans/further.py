@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkwell.operators import running, setjoin, temporal
-from linkwell.plans.registry import query, records, sides
-from linkwell.session import scratch_path
+from linkwell.operators import blocking, counted, reports, running, setjoin, sketches, temporal
+from linkwell.plans.registry import PREFIX4_CAP, PREFIX6_CAP, capped_pairs, query, records, scored, sides
+from linkwell.schema import CANDIDATE_ID, S1_ID
+from linkwell.session import scratch_path, stage
 from linkwell.sources import files
 from linkwell.streaming.linkage import link_files
 
@@ -126,3 +127,84 @@ def event_ledger(spark, sf_dir):
     return running.running(
         events, ["ts", "event_id"], by=["event_type"], number="position", sums={"cents_so_far": "cents"}, lags={"before": "ts"}
     ).select("event_id", "event_type", "position", "cents_so_far", "before")
+
+
+# --- blocking rules on counted profiles --------------------------------------------------------
+
+
+@query
+def exact_name_profiles(spark, sf_dir):
+    return counted.counted_pairs(blocking.block_exact_name, *sides(spark, sf_dir))
+
+
+@query
+def prefix4_profiles(spark, sf_dir):
+    return counted.counted_pairs(lambda a, b: blocking.block_prefix(a, b, 4), *sides(spark, sf_dir, "unicode"))
+
+
+@query
+def token_profiles(spark, sf_dir):
+    return counted.counted_pairs(blocking.block_token, *sides(spark, sf_dir, "unicode"))
+
+
+@query
+def token_profile_totals(spark, sf_dir):
+    return counted.candidate_totals(token_profiles(spark, sf_dir))
+
+
+# --- reports -----------------------------------------------------------------------------------
+
+
+@query
+def metrics_by_sets(spark, sf_dir):
+    """Scored pairs by source, country and tenth of the score, and by coarser sets of these."""
+    ours, theirs = sides(spark, sf_dir)
+    pairs = scored(spark, sf_dir).withColumn("tenth", F.floor(F.col("match_probability") * 10).cast("int"))
+    pairs = pairs.join(theirs.select(F.col("entity_id").alias(CANDIDATE_ID), "source"), CANDIDATE_ID)
+    pairs = pairs.join(ours.select(F.col("entity_id").alias(S1_ID), "country"), S1_ID)
+    sets = [["source", "country", "tenth"], ["source", "country"], ["source", "tenth"], ["country"], ["source"], []]
+    return reports.counts_by_sets(pairs, sets, {"n_true": F.col("label") == 1})
+
+
+@query
+def candidate_diff(spark, sf_dir):
+    """What tighter caps change: pairs of both runs with their status."""
+    return reports.multiset_diff(capped_pairs(spark, sf_dir), blocking.block_capped(*sides(spark, sf_dir), PREFIX4_CAP, PREFIX6_CAP))
+
+
+@query
+def key_surplus(spark, sf_dir):
+    """Block keys of targets beyond those of S1, copies counted."""
+    ours, theirs = (df.select("country_norm", "name_prefix4") for df in sides(spark, sf_dir))
+    return reports.surplus(reports.multiset_diff(ours, theirs))
+
+
+@query
+def decision_changes(spark, sf_dir):
+    """Decisions at one threshold against those at another, on different subsets of the pairs."""
+    decided = lambda least, limit: scored(spark, sf_dir).filter(F.col("match_probability") >= least).select(
+        S1_ID, CANDIDATE_ID, (F.col("match_probability") >= limit).alias("match"))
+    return reports.compare_runs(decided(0.2, 0.6), decided(0.3, 0.7), [S1_ID, CANDIDATE_ID], ["match"])
+
+
+@query
+def event_sketches(spark, sf_dir):
+    """Merged daily sketches of each type of event, and whether they keep their bounds."""
+    events = _table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    daily = stage(sketches.sketch(events, ["day", "event_type"], "user_id", "value"), "sketches")
+    merged = sketches.merge(daily, ["event_type"]).select(
+        "event_type", "n", sketches.n_distinct(F.col("values_state")).alias("users"), sketches.quantile(F.col("ranks_state"), 0.5).alias("median")
+    )
+    counters = sketches.merge_counters(stage(sketches.counters(events, ["day", "event_type"], "user_id"), "counters"), ["event_type"])
+    by_user = events.groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("truth"))
+    seen = sketches.frequencies(counters, by_user, ["event_type"], "user_id").join(by_user, ["event_type", "user_id"])
+    more = F.col("estimate") - F.col("truth")
+    counts = seen.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_users"), F.min(more).alias("least"), F.avg(more).alias("over"))
+    ranks = events.join(merged, "event_type").groupBy("event_type").agg(F.avg((F.col("value") <= F.col("median")).cast("double")).alias("rank"))
+    every = merged.join(counts, "event_type").join(ranks, "event_type")
+    return every.select(
+        "event_type", "n", "n_users",
+        (F.abs(F.col("users") - F.col("n_users")) <= 0.05 * F.col("n_users")).alias("users_in_bounds"),
+        (F.abs(F.col("rank") - 0.5) <= 0.03).alias("median_in_bounds"),
+        ((F.col("least") >= 0) & (F.col("over") <= F.exp(F.lit(1.0)) / sketches.WIDTH * F.col("n"))).alias("counts_in_bounds"),
+    )

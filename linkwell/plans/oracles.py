@@ -533,5 +533,6 @@ union all
 select 'V8', id, c from single where c not in (select entity_id from ent where source <> 'S1')
 union all
 select 'V9', id, c from single where (id, c) not in (select source1_entity_id, candidate_entity_id from pairs)"""
-    out.update(further_sql(records_sql))
+    rules = {"exact": EXACT, "prefix4": prefix_sql(4), "token": TOKEN, "capped": CAPPED, "small_capped": SMALL_CAPPED}
+    out.update(further_sql(records_sql, pairs_sql, scored_sql(), rules))
     return out

@@ -26,9 +26,47 @@ select o.entity_id as source1_entity_id, t.entity_id as candidate_entity_id
 from links join ours o on o.c = a join theirs t on t.c = b where {_similar(percent)}"""
 
 
-def further_sql(records_sql: Callable[[str], str]) -> dict[str, str]:
+def _profiles(rule: str, dialect: str, pairs_sql: Callable[..., str]) -> str:
+    side = "(select *, min(entity_id) over (partition by {}name_norm, country_norm) as p from {})"
+    return f"""{pairs_sql(rule, dialect)}
+select a.p as source1_entity_id, b.p as candidate_entity_id, count(distinct a.entity_id) as n_s1, count(distinct b.entity_id) as n_targets
+from pairs join {side.format('', 's1')} a on a.entity_id = source1_entity_id
+join {side.format('source, ', 'tg')} b on b.entity_id = candidate_entity_id group by 1, 2"""
+
+
+def further_sql(
+    records_sql: Callable[[str], str], pairs_sql: Callable[..., str], scored: str, rules: dict[str, str]
+) -> dict[str, str]:
     records = f"with {records_sql('ascii')}"
+    tokens = _profiles(rules["token"], "unicode", pairs_sql)
     return {
+        "exact_name_profiles": _profiles(rules["exact"], "ascii", pairs_sql),
+        "prefix4_profiles": _profiles(rules["prefix4"], "unicode", pairs_sql),
+        "token_profiles": tokens,
+        "token_profile_totals": f"""{pairs_sql(rules["token"], "unicode")}
+select count(*) as record_pairs, (select count(*) from ({tokens})) as profile_pairs, count(distinct source1_entity_id) as s1_covered
+from pairs""",
+        "metrics_by_sets": f"""{scored}, x as (
+  select scored.*, floor(match_probability * 10)::integer as tenth, tg.source, s1.country
+  from scored join tg on tg.entity_id = candidate_entity_id join s1 on s1.entity_id = source1_entity_id)
+select source, country, tenth, grouping(source, country, tenth)::integer as grouping, count(*) as n_rows,
+  count(*) filter (label = 1) as n_true, count(distinct source1_entity_id) as n_ids
+from x group by grouping sets ((source, country, tenth), (source, country), (source, tenth), (country), (source), ())""",
+        "candidate_diff": f"""{pairs_sql(rules["capped"])}, small as materialized ({rules["small_capped"]})
+select source1_entity_id, candidate_entity_id, count(p.l) as n_old, count(q.r) as n_new,
+  case when count(p.l) = count(q.r) then 'same' when count(q.r) = 0 then 'dropped' else 'added' end as status
+from (select *, 1 as l from pairs) p full join (select *, 1 as r from small) q using (source1_entity_id, candidate_entity_id)
+group by 1, 2""",
+        "key_surplus": f"{records} select country_norm, name_prefix4 from tg except all select country_norm, name_prefix4 from s1",
+        "decision_changes": f"""{scored}
+select source1_entity_id, candidate_entity_id,
+  case when o.m is null then 'added' when n.m is null then 'dropped' when o.m = n.m then 'same' else 'changed' end as status,
+  o.m as old_match, n.m as new_match
+from (select *, match_probability >= 0.6::double as m from scored where match_probability >= 0.2::double) o
+full join (select *, match_probability >= 0.7::double as m from scored where match_probability >= 0.3::double) n
+using (source1_entity_id, candidate_entity_id)""",
+        "event_sketches": """select event_type, count(*) as n, count(distinct user_id) as n_users, true as users_in_bounds,
+  true as median_in_bounds, true as counts_in_bounds from events group by 1""",
         "similar_name_classes": f"""{records}, {_classes('name_norm')}
 select array_to_string(a, ' ') as left_class, array_to_string(b, ' ') as right_class, overlap::integer as overlap,
   (select count(*) from ours where c = a) as n_s1, (select count(*) from theirs where c = b) as n_targets

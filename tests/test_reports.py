@@ -1,0 +1,104 @@
+"""Grouping sets, comparisons of runs, counted profiles and sketches against plain Python."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from linkwell.operators import blocking, counted, reports, sketches
+
+ROWS = "source1_entity_id string, source string, country string, label int"
+
+
+def some_rows(n=300):
+    rng = random.Random(17)
+    rows = [(rng.choice(["a", "a", "a", "b", "c", None]), rng.choice(["S2", "S3", None]), rng.choice(["us", "fr", None]), rng.choice([0, 1, None])) for _ in range(n)]
+    return rows + rows[:20]
+
+
+def test_sets_equal_a_loop(spark):
+    rows = some_rows()
+    sets = [["source", "country"], ["country"], []]
+    made = reports.counts_by_sets(spark.createDataFrame(rows, ROWS), sets, {"n_true": F.col("label") == 1})
+    wanted = []
+    for at, chosen in enumerate([(True, True), (False, True), (False, False)]):
+        groups = {}
+        for i, source, country, label in rows:
+            groups.setdefault((source if chosen[0] else None, country if chosen[1] else None), []).append((i, label))
+        for (source, country), own in groups.items():
+            ids = {i for i, _ in own} - {None}
+            wanted.append((source, country, [0, 2, 3][at], len(own), sum(x == 1 for _, x in own), len(ids)))
+    found = [tuple(r) for r in made.select("source", "country", "grouping", "n_rows", "n_true", "n_ids").collect()]
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
+    text = made._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Expand") == 1
+
+
+def test_diff_is_that_of_multisets(spark):
+    rows = some_rows(60)
+    old, new = rows[:50], rows[20:]
+    a, b = (spark.createDataFrame(x, ROWS) for x in (old, new))
+    diff = reports.multiset_diff(a, b)
+    o, n = Counter(old), Counter(new)
+    found = {tuple(r)[:4]: (r.n_old, r.n_new, r.status) for r in diff.collect()}
+    names = lambda x, y: "same" if x == y else "added" if not x else "dropped" if not y else "more" if x < y else "fewer"
+    assert found == {k: (o[k], n[k], names(o[k], n[k])) for k in o | n}
+    assert Counter(map(tuple, reports.surplus(diff).collect())) == n - o == Counter(map(tuple, b.exceptAll(a).collect()))
+    assert Counter(map(tuple, reports.surplus(diff, "n_old", "n_new").collect())) == o - n
+    assert reports.multiset_diff(a.limit(0), b.limit(0)).count() == 0
+
+
+def test_runs_by_key(spark):
+    schema = "k int, v string, w int, status string"
+    old = [(1, "x", 1, "s"), (2, "x", None, "s"), (3, "x", 1, "s"), (4, None, 4, "s"), (5, "x", 1, "s"), (5, "y", 1, "s"), (None, "n", 1, "s")]
+    new = [(1, "x", 1, "s"), (2, "x", None, "s"), (3, "y", 1, "s"), (4, "z", 4, "s"), (6, None, None, "s"), (None, "n", 1, "s")]
+    made = reports.compare_runs(spark.createDataFrame(old, schema), spark.createDataFrame(new, schema), ["k"], ["v", "w"])
+    assert {r.k: r.status for r in made.collect()} == {1: "same", 2: "same", 3: "changed", 4: "changed", 5: "repeated", 6: "added", None: "same"}
+    assert made.columns == ["k", "status", "old_v", "new_v", "old_w", "new_w"]
+    gone = reports.compare_runs(spark.createDataFrame(old[:2], schema), spark.createDataFrame([], schema), ["k"], ["v"])
+    assert {r.status for r in gone.collect()} == {"dropped"}
+
+
+RULES = {
+    "exact": blocking.block_exact_name, "token": blocking.block_token, "prefix": lambda a, b: blocking.block_prefix(a, b, 4),
+}
+
+
+@pytest.mark.parametrize("name", sorted(RULES))
+def test_profiles_stand_for_all_pairs(spark, random_sides, name):
+    ours, theirs = random_sides
+    made = counted.counted_pairs(RULES[name], ours, theirs)
+    p, q = (counted.members(df) for df in random_sides)
+    left = p.select(F.col("entity_id").alias("source1_entity_id"), F.col("profile").alias("a"))
+    right = q.select(F.col("entity_id").alias("candidate_entity_id"), F.col("profile").alias("b"))
+    long = made.select(F.col("source1_entity_id").alias("a"), F.col("candidate_entity_id").alias("b")).join(left, "a").join(right, "b")
+    pairs = {tuple(r) for r in RULES[name](ours, theirs).collect()}
+    assert {(r.source1_entity_id, r.candidate_entity_id) for r in long.collect()} == pairs
+    totals = counted.candidate_totals(made).first()
+    assert (totals.record_pairs, totals.s1_covered) == (len(pairs), len({a for a, _ in pairs})) and totals.profile_pairs < len(pairs)
+
+
+def test_sketches_keep_their_bounds_in_any_order(spark):
+    rng = random.Random(18)
+    rows = [(rng.randint(0, 6), int(rng.paretovariate(0.6)) % 3000, rng.gauss(5, 2)) for _ in range(20_000)]
+    rows += [(1, None, None), (9, None, None)]
+    frame = spark.createDataFrame(rows, "day int, user int, value double")
+    daily = sketches.sketch(frame, ["day"], "user", "value")
+    halves = sketches.merge(daily.withColumn("half", F.col("day") < 3), ["half"])
+    for merged in (sketches.merge(daily), sketches.merge(halves)):
+        got = merged.select("n", sketches.n_distinct(F.col("values_state")).alias("u"), *[
+            sketches.quantile(F.col("ranks_state"), q).alias(f"q{i}") for i, q in enumerate((0.05, 0.5, 0.95))]).first()
+        users, values = {u for _, u, _ in rows} - {None}, sorted(v for *_, v in rows if v is not None)
+        assert got.n == len(rows) and abs(got.u - len(users)) <= 0.05 * len(users)
+        for i, q in enumerate((0.05, 0.5, 0.95)):
+            assert abs(sum(v <= got[f"q{i}"] for v in values) / len(values) - q) <= 0.03
+    once = sketches.counters(frame, [], "user")
+    merged = sketches.merge_counters(sketches.counters(frame, ["day"], "user"))
+    assert {tuple(r) for r in once.collect()} == {tuple(r) for r in merged.collect()}
+    truth = Counter(u for _, u, _ in rows if u is not None)
+    asked = spark.createDataFrame([(u,) for u in [*truth, 5000]], "user int")
+    found = {r.user: r.estimate for r in sketches.frequencies(once, asked, [], "user").collect()}
+    most = 2.72 / sketches.WIDTH * len(rows)
+    assert all(found[u] >= n for u, n in truth.items()) and sum(found[u] - n > most for u, n in truth.items()) <= 0.01 * len(truth)
+    assert sketches.merge(daily.limit(0)).select(sketches.n_distinct(F.col("values_state"))).first()[0] == 0
