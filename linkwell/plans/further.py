@@ -10,6 +10,7 @@ from linkwell.plans.registry import PREFIX4_CAP, PREFIX6_CAP, capped_pairs, quer
 from linkwell.schema import CANDIDATE_ID, S1_ID
 from linkwell.session import scratch_path, stage
 from linkwell.sources import files
+from linkwell.streaming import events as streams
 from linkwell.streaming.linkage import link_files
 
 SIMILAR, LOOSE = 80, 50
@@ -108,6 +109,49 @@ def orders_open_together(spark, sf_dir):
     return met.select("o_custkey", F.col("u_o_orderkey").alias("urgent_key"), F.col("x_o_orderkey").alias("other_key"))
 
 
+def _arriving(spark, sf_dir: str, parts: int = 3) -> tuple[str, DataFrame]:
+    """Events in files by time, neighbouring files overlapping, and at the end one of each type that closes what is open."""
+    raw = scratch_path(spark, "events")
+    events = _table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp"), "user_id", "event_type", "value")
+    hour = F.date_trunc("hour", "ts")
+    ends = events.agg(F.min(hour).alias("lo"), F.max(hour).alias("hi")).first()
+    late = F.pmod(F.xxhash64("event_id"), F.lit(5)) == 0  # a fifth comes up to a day late
+    seconds = F.unix_timestamp("ts") + F.when(late, 80_000).otherwise(0)
+    part = F.floor((seconds - F.unix_timestamp(F.lit(ends["lo"]))) * parts / ((ends["hi"] - ends["lo"]).total_seconds() + 1e5))
+    dealt = stage(events.withColumn("_part", part), "dealt")
+    for i in range(parts):
+        dealt.filter(F.col("_part") == i).drop("_part").coalesce(1).write.mode("append").parquet(raw)
+    closing = events.groupBy("event_type").agg((F.max("ts") + F.expr("INTERVAL 9 DAY")).alias("ts"))
+    nobody = lambda c, t: F.lit(None).cast(t).alias(c)
+    apart = (-1 - F.pmod(F.xxhash64("event_type"), F.lit(1 << 40))).alias("user_id")  # keys of their own, which a join doesn't filter out
+    closing.select(nobody("event_id", "long"), "ts", apart, "event_type", nobody("value", "double")).coalesce(1).write.mode(
+        "append").parquet(raw)
+    return raw, events
+
+
+@query
+def user_sessions(spark, sf_dir):
+    raw, events = _arriving(spark, sf_dir)
+    out, state = scratch_path(spark, "sessions"), scratch_path(spark, "state")
+    streams.session_files(
+        spark, raw, out, state, events.schema, ["user_id"], "ts", "12 hours", "2 days", "value", files_per_batch=1
+    ).awaitTermination()
+    return spark.read.parquet(out).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first", "end")})
+
+
+@query
+def clicks_before_purchases(spark, sf_dir):
+    """Each click with the user's purchases within six hours, or none, from one stream of events."""
+    raw, events = _arriving(spark, sf_dir)
+    out, state = scratch_path(spark, "followed"), scratch_path(spark, "state")
+    side = lambda kind, names: streams.read_events(spark, raw, events.schema, "ts", "2 days", 1).filter(
+        F.col("event_type") == kind).select("user_id", *[F.col(c).alias(n) for c, n in names.items()])
+    clicks, bought = side("click", {"event_id": "click_id", "ts": "clicked"}), side("purchase", {"event_id": "purchase_id", "ts": "bought"})
+    met = streams.followed_by(clicks, bought, ["user_id"], "clicked", "bought", "6 HOURS")
+    streams.append(met.select("click_id", "purchase_id"), out, state).awaitTermination()
+    return spark.read.parquet(out)
+
+
 # --- running sums ------------------------------------------------------------------------------
 
 

@@ -95,6 +95,13 @@ select error_id, purchase_id from e join p on e.s < p.t and p.s < e.t and e.s <
 select u.o_custkey, u.o_orderkey as urgent_key, x.o_orderkey as other_key
 from d u join d x on u.o_custkey = x.o_custkey and u.s < x.t and x.s < u.t and u.s < u.t and x.s < x.t
 where u.urgent and not x.urgent""",
+        "user_sessions": """with a as (
+  select *, coalesce(ts - lag(ts) over (partition by user_id order by ts) > interval 12 hour, true) as fresh from events),
+b as (select *, count(*) filter (fresh) over (partition by user_id order by ts) as s from a)
+select user_id, min(ts) as first, max(ts) + interval 12 hour as "end", count(*) as n, max(value) as largest from b group by user_id, s""",
+        "clicks_before_purchases": """select c.event_id as click_id, p.event_id as purchase_id
+from events c left join events p on p.user_id = c.user_id and p.event_type = 'purchase' and p.ts between c.ts and c.ts + interval 6 hour
+where c.event_type = 'click'""",
         "order_ledger": """select o_orderkey, row_number() over w as position,
   (sum(round(o_totalprice * 100)::bigint) over (w rows unbounded preceding))::bigint as cents_so_far, lag(o_orderkey) over w as key_before
 from orders window w as (order by o_orderdate, o_orderkey)""",
