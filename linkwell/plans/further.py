@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkwell.operators import blocking, counted, reports, running, setjoin, sketches, temporal
-from linkwell.plans.registry import PREFIX4_CAP, PREFIX6_CAP, capped_pairs, query, records, scored, sides
+from linkwell.plans.index_pipeline import resolve_index
+from linkwell.plans.registry import THRESHOLD, PREFIX4_CAP, PREFIX6_CAP, capped_pairs, query, records, scored, sides
 from linkwell.schema import CANDIDATE_ID, S1_ID
 from linkwell.session import scratch_path, stage
 from linkwell.sources import files
@@ -196,6 +197,14 @@ def token_profile_totals(spark, sf_dir):
     return counted.candidate_totals(token_profiles(spark, sf_dir))
 
 
+@query
+def resolve_by_index(spark, sf_dir):
+    """Match lists from index candidates under a fixed score, the mean of four features."""
+    parts = ["name_jaccard", "address_jaccard", "numeric_overlap", "country_match"]
+    mean = sum((F.col(p).cast("double") for p in parts[1:]), F.col(parts[0])) / 4
+    return resolve_index(*sides(spark, sf_dir, "unicode"), lambda f: f.withColumn("match_probability", mean), THRESHOLD)
+
+
 # --- reports -----------------------------------------------------------------------------------
 
 

@@ -533,6 +533,11 @@ union all
 select 'V8', id, c from single where c not in (select entity_id from ent where source <> 'S1')
 union all
 select 'V9', id, c from single where (id, c) not in (select source1_entity_id, candidate_entity_id from pairs)"""
+    mean = f"({jaccard_sql('name')} + {jaccard_sql('address')} + {numeric_sql()} + {COUNTRY_MATCH}::double) / 4"
+    out["resolve_by_index"] = f"""{pairs_sql(INDEX, 'unicode')}, {ATTRIBUTES}, good as (
+  select source1_entity_id, candidate_entity_id from attr where {mean} >= {limit})
+select s1.entity_id as source1_entity_id, coalesce(string_agg(candidate_entity_id, ',' order by candidate_entity_id), '') as matched_entity_ids
+from s1 left join good on source1_entity_id = s1.entity_id group by 1"""
     rules = {"exact": EXACT, "prefix4": prefix_sql(4), "token": TOKEN, "capped": CAPPED, "small_capped": SMALL_CAPPED}
     out.update(further_sql(records_sql, pairs_sql, scored_sql(), rules))
     return out
