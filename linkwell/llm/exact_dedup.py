@@ -109,7 +109,7 @@ def deduplicate(
     Runs a streaming query to its end. ``checkpoint`` keeps the state for files
     that come later; by default each call has a state of its own.
     """
-    home = checkpoint or scratch_path(spark, "exact")
+    home, path = checkpoint or scratch_path(spark, "exact"), path.rstrip("/")
     schema = spark.read.parquet(path).select("doc_id", "text").schema
     pattern = f"{path[:-1]}[{path[-1]}]"  # a pattern may match a folder or one file
     update_state(spark, pattern, schema, f"{home}/checkpoint", f"{home}/keys", files_per_batch, digest)

@@ -197,6 +197,8 @@ def test_exact_dedup_state_outlives_a_run(spark):
     assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in found} == {(1, 5, 2, False), (5, 5, 2, True), (2, 2, 1, True), (4, 4, 1, True)}
     frame.limit(0).write.parquet(empty := scratch_path(spark, "none"))
     assert exact_dedup.deduplicate(spark, empty).count() == 0
+    slashed = exact_dedup.deduplicate(spark, path + "/").collect()
+    assert len(slashed) == spark.read.parquet(path).count()
 
 
 def test_exact_dedup_takes_late_files_of_any_age(spark):
