@@ -12,7 +12,8 @@ shuffles nothing.
 
 Defined cases: a null or empty text has no terms and gets the score of the bias.
 Labels that are null or belong to no document, or whose id is null, are not
-learnt from; documents without a label are scored like others; repeated rows get
+learnt from; an id labelled both ways is toxic; of documents that share an id one is
+learnt from. Documents without a label are scored like others; repeated rows get
 the same score. Without labels of both kinds every score is the share of toxic
 ones (0 without any). Other columns are kept unless they are named like a result.
 """
@@ -133,7 +134,7 @@ def fit_machine(texts: list[np.ndarray], labels: np.ndarray, seed: int = 11) ->
     some, some_owner = flat[paired], owner[paired]
     machine.vector[chosen] = np.random.default_rng(seed).normal(0, 0.03, (len(chosen), FACTORS))
     vector_grown = np.full((n, FACTORS), 1e-8)
-    for _ in range(STEPS):
+    for _ in range(STEPS if len(chosen) else 0):
         own = machine.vector[some]
         both = np.stack([np.bincount(some_owner, own[:, f], rows) for f in range(FACTORS)], axis=1)
         pairs = ((both**2).sum(axis=1) - np.bincount(some_owner, (own**2).sum(axis=1), rows)) / 2
@@ -205,11 +206,18 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN) -> Machine:
-    """Fit on labelled documents (doc_id, toxic) that aren't held out. Runs a job; returns a bounded model."""
+    """Fit on labelled documents (doc_id, toxic) that aren't held out. Runs a job; returns a bounded model.
+
+    An id labelled both ways is toxic; null labels are none. Of documents of one id one
+    is taken, that of the least text hash, so the sample is bounded in rows as well.
+    """
     usable = labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    usable = usable.filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     pick = lambda y, n: usable.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    sample = F.broadcast(pick(1, most_toxic).unionByName(pick(0, most_clean)).dropDuplicates(["doc_id"]))
-    rows = docs.select("doc_id", text_of().alias("text")).join(sample, "doc_id").select("text", F.col("toxic").cast("int"))
+    sample = F.broadcast(pick(1, most_toxic).unionByName(pick(0, most_clean)))
+    rows = docs.select("doc_id", text_of().alias("text")).join(sample, "doc_id")
+    single = F.min_by(F.struct("text", "toxic"), F.struct(F.xxhash64("text"), "text")).alias("one")
+    rows = rows.groupBy("doc_id").agg(single).select("one.text", F.col("one.toxic").cast("int").alias("toxic"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()

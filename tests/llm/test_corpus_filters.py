@@ -1,6 +1,7 @@
 """Quality rules, toxicity, near duplicates."""
 
 import math
+import random
 import zlib
 
 import numpy as np
@@ -187,3 +188,36 @@ def test_odd_sketch_estimates_high_similarities():
         differ = int(np.unpackbits((x ^ y).view(np.uint8)).sum())
         assert differ <= minhash.most_odd_bits(0.85)
         assert 1 + np.log(1 - 2 * differ / 1024) * 1024 / 4 / minhash.SAMPLES == pytest.approx(similarity, abs=0.08)
+
+
+def test_repeated_ids_and_labels_do_not_multiply_the_sample(spark):
+    """Each id once, whatever its rows and labels; the least text hash and the toxic label count."""
+    rng = random.Random(5)
+    texts = {i: sentence(rng, 8) + " awful" * (i % 4 == 0 or i % 5 == 0) for i in range(200)}
+    docs = [(i, t) for i, t in texts.items() for _ in range(25)] + [(i, sentence(rng, 8)) for i in range(200)]
+    labels = [(i, int(i % 4 == 0)) for i in range(200)] + [(i, 1 - int(i % 4 == 0)) for i in range(0, 200, 5)] + [(1, None), (None, 1)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    once = toxicity.train(frame, marks)
+    clean = spark.createDataFrame([(i, int(i % 4 == 0 or i % 5 == 0)) for i in range(200)], "doc_id bigint, toxic int")
+    again = toxicity.train(frame.unionByName(frame).repartition(5), clean)
+    for a, b in zip((once.features, once.weight, once.vector), (again.features, again.weight, again.vector)):
+        assert np.array_equal(a, b)
+    assert once.bias == again.bias and len(once.features)
+    untold = toxicity.train(frame, spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "doc_id bigint, toxic int"))
+    assert not untold.weight.any() and not untold.vector.any()
+
+
+def test_scores_follow_from_the_model_pair_by_pair(spark):
+    """Scores of the whole small table, recomputed from weights and all pairs of vectors."""
+    docs = table(spark, SMALL, "documents").select("doc_id", "text")
+    machine = toxicity.train(docs, table(spark, SMALL, "labels"))
+    place = {int(f): i for i, f in enumerate(machine.features)}
+    found = {r.doc_id: r.score for r in toxicity.score(docs, machine).collect()}
+    terms = toxicity.Terms()
+    for r in docs.collect():
+        at = [place[f] for f in sorted(terms.of(r.text)) if f in place]
+        total = float(machine.bias) + sum(float(machine.weight[i]) for i in at)
+        vectors = machine.vector[at].astype(np.float64)
+        total += sum(float(vectors[i] @ vectors[j]) for i in range(len(at)) for j in range(i) if vectors[i].any() and vectors[j].any())
+        assert found[r.doc_id] == pytest.approx(1 / (1 + math.exp(-total)), abs=2e-3)
