@@ -3,7 +3,7 @@
 Documents are tokenized and dealt to shards by a sketch of their token runs, so
 related ones tend to meet; ids break ties, so no group of copies is too large for
 the ranges. The number of shards follows the number of tokens. Each shard holds a
-BM25 inverted index of its documents. The next unused document seeds a window; the
+BM25 inverted index of its documents, weighted by the statistics of all documents. The next unused document seeds a window; the
 index returns its unused neighbours by score, which fill the window one after
 another, and where none is left the next unused document goes on. A document
 that doesn't fit is cut, and its rest stays in the index. So every window of a
@@ -16,7 +16,7 @@ around runs of letters; a tokenizer of another kind is called with whole texts.
 
 Defined cases: a null text is empty and has the end id only. Repeated rows and ids
 are packed like others, each row's tokens once. A document longer than a window
-fills windows of its own; its rest is a document like others. No rows give no
+fills windows of its own; its rest is packed like others, and found by the whole text. No rows give no
 sequences. Other columns are not read.
 """
 
@@ -26,6 +26,7 @@ import json
 import os
 from collections.abc import Iterator
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -317,11 +318,42 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> Da
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {kind}, ids array<int>, sketch long")
 
 
+class Statistics(NamedTuple):
+    """Documents, their mean length, and how many hold each token, over a whole corpus."""
+
+    n: int
+    mean: float
+    df: np.ndarray
+
+
+def statistics(held: DataFrame) -> Statistics:
+    """Of the lists ``ids``. What comes to the driver is a number for each token of the vocabulary at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            lists = batch.column(0)
+            sizes, flat = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            if len(flat):
+                width = int(flat.max()) + 1
+                held_in = np.bincount(np.unique(np.repeat(np.arange(len(sizes)), sizes) * width + flat) % width, minlength=len(total))
+                held_in[: len(total)] += total
+                total = held_in
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["token", "df"])
+
+    n, tokens = held.agg(F.count(F.lit(1)), F.sum(F.size("ids").cast("long"))).first()
+    rows = held.select("ids").mapInArrow(run, "token long, df long").groupBy("token").agg(F.sum("df").alias("df")).collect()
+    df = np.zeros(max((r.token for r in rows), default=0) + 1, np.int64)
+    df[[r.token for r in rows]] = [r.df for r in rows]
+    return Statistics(n, (tokens or 0) / max(n, 1), df)
+
+
 class Index:
-    """BM25 postings of the units of a shard."""
+    """BM25 postings of the units of a shard, weighted by the statistics of a corpus, or of the units themselves."""
 
-    def __init__(self, units: list[np.ndarray]):
-        n, self.n = max(len(units), 1), len(units)
+    def __init__(self, units: list[np.ndarray], corpus: Statistics | None = None):
+        self.n = len(units)
         lengths = np.array([len(u) for u in units], np.int64)
         owner = np.repeat(np.arange(len(units), dtype=np.int64), lengths)
         tokens = np.concatenate(units).astype(np.int64) if units else np.empty(0, np.int64)
@@ -331,8 +363,9 @@ class Index:
         df = np.bincount(term, minlength=width)
         shared = df[term] > 1
         unit, term, tf = unit[shared], term[shared], tf[shared].astype(np.float64)
+        n, mean, df = corpus or (len(units), lengths.mean() if len(units) else 1.0, df)
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths[unit] / lengths.mean()) if len(unit) else 1.0
+        norm = K1 * (1 - B + B * lengths[unit] / mean)
         weight = idf[term] * tf * (K1 + 1) / (tf + norm)
         order = np.argsort(term, kind="stable")
         self.unit, self.weight = unit[order], weight[order]
@@ -354,18 +387,19 @@ class Index:
         return found[np.argsort(-score[found], kind="stable")]
 
 
-def pack_shard(docs: list[tuple], window: int, last: bool) -> tuple[list[list[tuple]], list[tuple]]:
+def pack_shard(docs: list[tuple], window: int, last: bool, corpus: Statistics | None = None) -> tuple[list[list[tuple]], list[tuple]]:
     """Sequences, each a list of pieces (id, document length, start, ids), and the tokens left for the next block.
 
-    A document is (id, document length, start, ids): what is left of it.
+    A document is (id, document length, start, ids): what is left of it. All of that is indexed.
     """
-    done, units = [], []
+    done, units, indexed = [], [], []
     for key, total, start, ids in docs:
         whole = len(ids) - len(ids) % window
         done.extend([(key, total, start + lo, ids[lo : lo + window])] for lo in range(0, whole, window))
         if whole < len(ids):
             units.append((key, total, start + whole, ids[whole:]))
-    index = Index([u[3] for u in units])
+            indexed.append(ids)
+    index = Index(indexed, corpus)
     free = np.ones(len(units), bool)
     taken = [0] * len(units)
     seed, room, held = 0, window, []
@@ -429,8 +463,9 @@ def pack(tokens: DataFrame, window: int = WINDOW, tokens_per_shard: int = TOKENS
     Runs jobs: ``tokens`` are staged and counted.
     """
     held = stage(tokens.select("doc_id", "ids", "sketch"), "tokens")
-    total = held.agg(F.sum(F.size("ids"))).first()[0] or 0
-    shards = max(1, -(-total // tokens_per_shard))
+    counted = statistics(held)
+    shards = max(1, -(-round(counted.n * counted.mean) // tokens_per_shard))
+    corpus = held.sparkSession.sparkContext.broadcast(counted)
     kind = held.schema["doc_id"].dataType.simpleString()
     tie = F.xxhash64("ids")
     dealt = held.repartitionByRange(shards, "sketch", "doc_id", tie).sortWithinPartitions("sketch", "doc_id", tie)
@@ -442,7 +477,7 @@ def pack(tokens: DataFrame, window: int = WINDOW, tokens_per_shard: int = TOKENS
 
         def packed(last: bool) -> pa.RecordBatch:
             nonlocal docs, size, number, carried
-            done, left = pack_shard(docs, window, last)
+            done, left = pack_shard(docs, window, last, corpus.value)
             rows = []
             for sequence in done:
                 at = 0

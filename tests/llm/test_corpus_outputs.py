@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import math
 import random
 import struct
 import zlib
@@ -96,6 +97,28 @@ def test_neighbours_are_those_of_bm25():
     assert set(found) == {d for d in range(30) if free[d] and score(0, d) > 0}
 
 
+def test_statistics_cover_all_documents(spark):
+    rng = np.random.default_rng(4)
+    units = [rng.integers(0, 50, rng.integers(0, 30)).tolist() for _ in range(40)] + [[]]
+    held = spark.createDataFrame([(i, u) for i, u in enumerate(units)], "doc_id bigint, ids array<int>").repartition(4)
+    found = packing.statistics(held)
+    assert found.n == 41 and found.mean == pytest.approx(sum(map(len, units)) / 41)
+    assert found.df.tolist() == [sum(t in u for u in units) for t in range(len(found.df))]
+    own = packing.Index([np.array(u, np.int32) for u in units], found)
+    free = np.ones(41, bool)
+    free[3] = False
+    assert own.neighbours(3, free).tolist() == packing.Index([np.array(u, np.int32) for u in units]).neighbours(3, free).tolist()
+    # of a part of the documents, terms weigh as they do in all
+    few = packing.Index([np.array(u, np.int32) for u in units[:6]], found)
+    idf = lambda t: math.log1p((41 - found.df[t] + 0.5) / (found.df[t] + 0.5))
+    at = few.first[1]
+    t, n = int(few.terms[at]), len(units[1])
+    tf = units[1].count(t)
+    assert few.weight[few.begin[t] : few.end[t]][few.unit[few.begin[t] : few.end[t]] == 1][0] == pytest.approx(
+        idf(t) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / found.mean)))
+    assert packing.statistics(held.limit(0)).n == 0
+
+
 def test_related_documents_share_windows():
     rng = np.random.default_rng(3)
     docs = [(i, 60, 0, rng.integers(100 * (i % 5), 100 * (i % 5) + 100, 60)) for i in range(50)]
