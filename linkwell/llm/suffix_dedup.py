@@ -48,14 +48,14 @@ from pyspark.sql import types as T
 
 from linkwell.llm.common import text_of
 from linkwell.llm.suffix_array import suffix_array
-from linkwell.session import scratch_path, shuffle_tasks, stage, stage_counted
+from linkwell.session import release, scratch_mark, scratch_path, scratch_since, shuffle_tasks, stage, stage_counted
 
 LENGTH, GRAM = 100, 32
 BATCH_BITS = 10
 CHUNK = 1 << 22
 PLACE_BITS = 24
 BLOCK_SEGMENTS = 100_000
-HOT_SEGMENTS = 1_000
+HOT_SEGMENTS = 50_000
 BATCH_BYTES = 1 << 24
 PRINTS_PER_BUCKET = 1 << 22
 #: About so many bytes of text have an anchor of their own.
@@ -490,10 +490,15 @@ def dedup_substrings(
     number = batch_of(F.col("row"), F.octet_length("text"), batch_bits, batch_bytes)
     held, size = _bucketed(spark, rows.withColumn("batch", number), tasks)
     buckets = max(tasks, -(-size // (BYTES_PER_PRINT * PRINTS_PER_BUCKET)))
+    begun = scratch_mark()
     marks = stage(_marked(_sent(held, buckets, length, gram)), "marks")
+    used = scratch_since(begun)
     cut = stage(_cut(held, marks, length, gram), "segments")
+    release(spark, used)  # each is read by the next table only, which is written
     local = cut.filter(F.col("print").isNull()).select("batch", "row", "first", "last")
-    repeats = stage(local.unionByName(_compare(cut, tasks, length, hot_segments)), "repeats")
+    found, before = local.unionByName(_compare(cut, tasks, length, hot_segments)), scratch_since(begun)
+    repeats = stage(found, "repeats")
+    release(spark, before)
     done = _removed(held, repeats, ["text", *own.values()], length)
     made = ["kept", "n_bytes", "n_removed", "n_spans"]
     return done.select(*[F.col(v).alias(c) for c, v in own.items() if c not in made], *made)
