@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkwell.operators import blocking, coverage, evaluate, features, model, normalize, output
+from linkwell.plans import index_pipeline, pipeline
 from linkwell.schema import CANDIDATE_LISTS, MATCH_LISTS, S1_ID
 from linkwell.session import stage
 from linkwell.sources import files
@@ -123,17 +124,59 @@ def blocking_recall(spark: SparkSession, ground_truth: str, candidates: str) ->
 def validate(
     spark: SparkSession, test_s1: str, test_s2: str, test_s3: str, matching_results: str, candidate_pairs: str
 ) -> DataFrame:
-    """All rule violations of the output files; an empty table means they are valid."""
+    """All rule violations of the output files; an empty table means they are valid.
+
+    Beside the rules of :func:`~linkwell.operators.output.validate_output`: V1 and V2, the file of
+    matches or of candidates isn't there; V11, lines that aren't readable as TSV of two fields.
+    """
+    named = (("V1", "matching_results", matching_results, MATCH_LISTS), ("V2", "candidate_pairs", candidate_pairs, CANDIDATE_LISTS))
+    shape = f"rule string, {S1_ID} string, detail string"
+    missing = [(rule, None, f"{name}: no such file: {path}") for rule, name, path, _ in named if not files.exists(spark, path)]
+    if missing:
+        return spark.createDataFrame(missing, shape)
+    broken = [
+        files.unreadable_lines(spark, path, schema).select(
+            F.lit("V11").alias("rule"), F.lit(None).cast("string").alias(S1_ID), F.concat(F.lit(f"{name}: "), "line").alias("detail"))
+        for _, name, path, schema in named
+    ]
+    broken = stage(broken[0].unionByName(broken[1]), "unreadable")
+    if broken.take(1):
+        return broken
     entities = [files.read_entities(spark, p) for p in (test_s1, test_s2, test_s3)]
     return output.validate_output(
         files.read_tsv(spark, matching_results), files.read_tsv(spark, candidate_pairs), *entities
     )
 
 
+def resolve(
+    spark: SparkSession, s1: str, s2: str, s3: str, ground_truth: str, output_dir: str, strategy: str = "capped", dialect: str = "ascii",
+    threshold: float = 0.0, max_iter: int = model.GBT_PARAMS["maxIter"], max_depth: int = model.GBT_PARAMS["maxDepth"],
+) -> None:
+    """The whole chain: raw TSV and truth to a trained model, match lists and candidate lists.
+
+    A ``threshold`` of 0 takes the best one of the validation side (capped strategy), or the default.
+    """
+    ours, theirs = pipeline.prepare(*[files.read_entities(spark, p) for p in (s1, s2, s3)], dialect=dialect)
+    truth = features.explode_candidates(files.read_tsv(spark, ground_truth, MATCH_LISTS), "matched_entity_ids")
+    trees = {"maxIter": max_iter, "maxDepth": max_depth}
+    if strategy == "capped":
+        fitted, best = pipeline.fit(ours, theirs, truth, **trees)
+        limit = threshold or best.first()["threshold"]
+        matches, pairs = pipeline.resolve_prepared(ours, theirs, fitted, limit), blocking.block_capped(ours, theirs)
+    elif strategy == "index":
+        fitted, limit = index_pipeline.fit_index(ours, theirs, truth, **trees), threshold or output.DEFAULT_THRESHOLD
+        matches, pairs = index_pipeline.resolve_index(ours, theirs, fitted, limit), blocking.block_index(ours, theirs)
+    else:
+        raise ValueError(f"strategy must be capped or index, got {strategy!r}")
+    model.save_model(fitted, f"{output_dir}/model")
+    files.write_tsv(matches, f"{output_dir}/matching_results.tsv", sort_by=S1_ID)
+    files.write_tsv(blocking.candidate_lists(ours, pairs), f"{output_dir}/candidate_pairs.tsv", sort_by=S1_ID)
+
+
 JOBS = {
     f.__name__.replace("_", "-"): f
     for f in (
         preprocess, quality, block, key_stats, candidate_stats, make_features, train, score, choose_threshold, match,
-        blocking_size, blocking_recall, validate,
+        blocking_size, blocking_recall, validate, resolve,
     )
 }

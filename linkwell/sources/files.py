@@ -23,6 +23,20 @@ def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return df
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, through the file system that would hold it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def unreadable_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Lines of a TSV that don't have as many fields as the schema, as column ``line``."""
+    whole = T.StructType([*schema, T.StructField("_line", T.StringType())])
+    read = spark.read.schema(whole).options(**TSV_OPTIONS, multiLine="false", columnPruning="false", columnNameOfCorruptRecord="_line").csv(path)
+    # the reader refuses to be asked for broken lines alone, so nothing of the first field goes with them
+    return read.filter("_line is not null").selectExpr(f"concat(_line, left(coalesce({schema.fieldNames()[0]}, ''), 0)) as line")
+
+
 def read_entities(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Entity TSV with any column order; extra columns are kept."""
     return require_columns(read_tsv(spark, path), ENTITY_COLUMNS)

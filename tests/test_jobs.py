@@ -44,6 +44,42 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert (int(row.total_pairs), int(row.s1_covered), int(row.max_candidates)) == (sum(sizes), sum(n > 0 for n in sizes), max(sizes))
 
 
+@pytest.mark.parametrize("strategy", ["capped", "index"])
+def test_the_whole_chain_as_one_job(spark, tmp_path, strategy):
+    d = str(tmp_path)
+    entities = documents.document_entities(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    for name, table in zip(("s1", "s2", "s3"), documents.split_sources(entities)):
+        files.write_tsv(table, f"{d}/{name}.tsv")
+    truth = documents.truth_lists(documents.split_sources(entities)[0], documents.truth_pairs(entities))
+    files.write_tsv(truth, f"{d}/truth.tsv")
+    sides = [a for n in ("s1", "s2", "s3") for a in (f"--{n}", f"{d}/{n}.tsv")]
+    assert main(["resolve", *sides, "--ground-truth", f"{d}/truth.tsv", "--output-dir", f"{d}/out", "--strategy", strategy,
+                 "--max-iter", "2", "--max-depth", "2"]) == 0
+    check = ["validate", *[a for n in ("s1", "s2", "s3") for a in (f"--test-{n}", f"{d}/{n}.tsv")]]
+    out = ["--matching-results", f"{d}/out/matching_results.tsv", "--candidate-pairs", f"{d}/out/candidate_pairs.tsv"]
+    assert main([*check, *out]) == 0
+    assert any(r[1] for r in files.read_tsv(spark, f"{d}/out/matching_results.tsv").collect())
+
+
+def test_missing_and_unreadable_files(spark, sample, tmp_path):
+    """Rows of the violation table, not an error of the reader."""
+    from linkwell.plans.jobs import validate
+
+    d = str(tmp_path)
+    for name, table in zip(("s1", "s2", "s3"), sample):
+        files.write_tsv(table, f"{d}/{name}.tsv")
+    (tmp_path / "good.tsv").write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1\nS1-2\t\nS1-3\t\n")
+    (tmp_path / "pairs.tsv").write_text("source1_entity_id\tcandidate_entity_ids\nS1-1\tS2-1,S3-1\nS1-2\t\nS1-3\t\n")
+    (tmp_path / "bad.tsv").write_text("source1_entity_id\tcandidate_entity_ids\nS1-1\tS2-1\tS3-1\nS1-2\nS1-3\t\n")
+    given = [f"{d}/{n}.tsv" for n in ("s1", "s2", "s3")]
+    run = lambda a, b: sorted((r.rule, r.detail.split(":")[0]) for r in validate(spark, *given, f"{d}/{a}", f"{d}/{b}").collect())
+    assert run("good.tsv", "pairs.tsv") == []
+    assert run("none.tsv", "nor.tsv") == [("V1", "matching_results"), ("V2", "candidate_pairs")]
+    assert run("good.tsv", "nor.tsv") == [("V2", "candidate_pairs")]
+    assert run("good.tsv", "bad.tsv") == [("V11", "candidate_pairs")] * 2
+    assert run("pairs.tsv", "pairs.tsv") == [("V12", "matching_results")]
+
+
 def test_arguments():
     with pytest.raises(SystemExit):
         parser().parse_args(["block", "--s1", "x"])
