@@ -83,6 +83,18 @@ def op9_minhash_odd_sketch(spark, sf_dir):
     return minhash.components(table(spark, sf_dir, "documents"))
 
 
+SQL["op9_minhash_odd_sketch"] = r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+         s AS MATERIALIZED (SELECT doc_id, unnest(list_distinct(list_transform(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 3, 2) END),
+                              lambda i: array_to_string(w[i:i + 4], ' ')))) AS g FROM w),
+         n AS MATERIALIZED (SELECT doc_id, count(g) AS n FROM (SELECT doc_id FROM documents) LEFT JOIN s USING (doc_id) GROUP BY 1),
+         p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+         e AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+         r AS (SELECT doc_id, doc_id AS m FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.m)
+    SELECT n.doc_id, n.n AS n_shingles, min(m) AS component_id, n.doc_id = min(m) AS kept FROM n JOIN r USING (doc_id) GROUP BY 1, 2"""
+
+
 @query
 def op4_winnowed_line_dedup(spark, sf_dir):
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))

@@ -271,7 +271,7 @@ def test_records_in_small_blocks():
 def test_queries_against_sql(spark, name):
     found = queries.QUERIES[name](spark, SMALL)
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     cursor = con.execute(queries.SQL[name])
     columns = [d[0] for d in cursor.description]
