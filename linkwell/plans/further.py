@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkwell.functions import alignment
 from linkwell.operators import blocking, counted, reports, running, setjoin, sketches, temporal
 from linkwell.plans.index_pipeline import resolve_index
 from linkwell.plans.registry import THRESHOLD, PREFIX4_CAP, PREFIX6_CAP, capped_pairs, query, records, scored, sides
@@ -205,6 +206,18 @@ def resolve_by_index(spark, sf_dir):
     return resolve_index(*sides(spark, sf_dir, "unicode"), lambda f: f.withColumn("match_probability", mean), THRESHOLD)
 
 
+@query
+def match_alignments(spark, sf_dir):
+    """Where the names of accepted matches agree, each pair of names once."""
+    alignment.register(spark)
+    names = lambda df, key, c: df.select(F.col("entity_id").alias(key), F.col("name_norm").alias(c))
+    ours, theirs = sides(spark, sf_dir)
+    good = scored(spark, sf_dir).filter(F.col("match_probability") >= THRESHOLD)
+    met = good.join(names(ours, S1_ID, "a"), S1_ID).join(names(theirs, CANDIDATE_ID, "b"), CANDIDATE_ID).select("a", "b").distinct()
+    met.select(F.md5(F.concat_ws("\t", "a", "b")).alias("id"), "a", "b").createOrReplaceTempView("matched_names")
+    return spark.sql(f"SELECT * FROM {alignment.NAME}(TABLE(matched_names))")
+
+
 # --- reports -----------------------------------------------------------------------------------
 
 
