@@ -26,7 +26,7 @@ def _made() -> type:
                     raise ValueError(f"the table needs the columns id, a and b, found {', '.join(names)}")
             kind = next(f.dataType for f in pairs.dataType.fields if f.name == "id")
             number = lambda n: StructField(n, IntegerType())
-            schema = StructType([StructField("id", kind), number("block"), number("a_from"), number("b_from"), number("length"), StructField("text", StringType())])
+            schema = StructType([StructField("id", kind), number("block"), number("a_from"), number("b_from"), number("length"), number("window"), StructField("text", StringType())])
             return AnalyzeResult(schema, partitionBy=[PartitioningColumn("id")], orderBy=[OrderingColumn("a"), OrderingColumn("b")])
 
         def eval(self, row) -> Iterator[tuple]:
@@ -42,7 +42,7 @@ def _made() -> type:
                     (score, at, size), short, long, swapped = other, long, short, not swapped
             for n, (i, j, length) in enumerate(blocks(short, long[at : at + size])):
                 i_a, i_b = (at + j, i) if swapped else (i, at + j)
-                yield row["id"], n, i_a, i_b, length, short[i : i + length]
+                yield row["id"], n, i_a, i_b, length, size, short[i : i + length]
 
     def table(a: str, b: str) -> list[list[int]]:
         """Longest common subsequences of all beginnings."""
@@ -88,8 +88,8 @@ def register(spark: SparkSession, name: str = NAME) -> None:
 
     A row for each block of characters that both texts have in common, in order, in
     the window of the longer text that is most like the shorter one (the alignment of
-    ``partial_ratio``): its number from 0, where it begins in each, and its length. Twice
-    the sum of lengths over the lengths of text and window is the score. The function
+    ``partial_ratio``): its number from 0, where it begins in each, its length, and that
+    of the window. Twice the sum of lengths over the lengths of shorter text and window is the score. The function
     asks for a partition for each ``id`` itself, so no task holds more than a pair at a time;
     repeated ids are aligned one after another. A null or empty text has no block.
     """

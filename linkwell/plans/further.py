@@ -208,14 +208,18 @@ def resolve_by_index(spark, sf_dir):
 
 @query
 def match_alignments(spark, sf_dir):
-    """Where the names of accepted matches agree, each pair of names once."""
+    """How far the names of accepted matches agree, from the blocks of their best alignment; each pair of names once."""
     alignment.register(spark)
     names = lambda df, key, c: df.select(F.col("entity_id").alias(key), F.col("name_norm").alias(c))
     ours, theirs = sides(spark, sf_dir)
     good = scored(spark, sf_dir).filter(F.col("match_probability") >= THRESHOLD)
     met = good.join(names(ours, S1_ID, "a"), S1_ID).join(names(theirs, CANDIDATE_ID, "b"), CANDIDATE_ID).select("a", "b").distinct()
-    met.select(F.md5(F.concat_ws("\t", "a", "b")).alias("id"), "a", "b").createOrReplaceTempView("matched_names")
-    return spark.sql(f"SELECT * FROM {alignment.NAME}(TABLE(matched_names))")
+    met = stage(met.select(F.md5(F.concat_ws("\t", "a", "b")).alias("id"), "a", "b"), "matched-names")
+    met.createOrReplaceTempView("matched_names")
+    blocks = spark.sql(f"SELECT id, sum(length) AS same, max(window) AS window FROM {alignment.NAME}(TABLE(matched_names)) GROUP BY id")
+    whole = F.least(F.char_length("a"), F.char_length("b")) + F.col("window")
+    empty = F.when((F.col("a") == "") & (F.col("b") == ""), 1.0).otherwise(0.0)
+    return met.join(blocks, "id", "left").select("a", "b", F.coalesce(2.0 * F.col("same") / whole, empty).alias("score"))
 
 
 # --- reports -----------------------------------------------------------------------------------

@@ -538,6 +538,10 @@ select 'V9', id, c from single where (id, c) not in (select source1_entity_id, c
   select source1_entity_id, candidate_entity_id from attr where {mean} >= {limit})
 select s1.entity_id as source1_entity_id, coalesce(string_agg(candidate_entity_id, ',' order by candidate_entity_id), '') as matched_entity_ids
 from s1 left join good on source1_entity_id = s1.entity_id group by 1"""
+    out["match_alignments"] = f"""{scored_sql()}, {partial_sql('name')}
+select distinct n.a, n.b, n.score::double as score
+from scored join attr t using (source1_entity_id, candidate_entity_id) join name_b n on t.name_a = n.a and t.name_b = n.b
+where match_probability >= {limit}"""
     rules = {"exact": EXACT, "prefix4": prefix_sql(4), "token": TOKEN, "capped": CAPPED, "small_capped": SMALL_CAPPED}
     out.update(further_sql(records_sql, pairs_sql, scored_sql(), rules))
     return out
