@@ -41,7 +41,7 @@ from linkwell.session import stage
 WINDOW, END_ID = 4096, 2
 TOKENS_PER_SHARD = 2_000_000
 K1, B = 1.2, 0.75
-CACHED_BYTES, BATCH_BYTES = 48_000_000, 4_000_000
+CACHED_BYTES, BATCH_BYTES, COUNTED_TOKENS = 48_000_000, 2_000_000, 1 << 18
 #: Words whose letters have one lower case each, whatever stands beside them, and no other composition.
 LATIN = r"^[\x00-\x{12F}\x{131}-\x{17F}]*$"
 WORD_END = "</w>"
@@ -333,12 +333,18 @@ def statistics(held: DataFrame) -> Statistics:
         total = np.zeros(0, np.int64)
         for batch in batches:
             lists = batch.column(0)
-            sizes, flat = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            if len(flat):
-                width = int(flat.max()) + 1
-                held_in = np.bincount(np.unique(np.repeat(np.arange(len(sizes)), sizes) * width + flat) % width, minlength=len(total))
-                held_in[: len(total)] += total
-                total = held_in
+            ends = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+            flat, at = lists.flatten().to_numpy(zero_copy_only=False), 0
+            while at < len(ends) - 1:  # some documents at a time
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] + COUNTED_TOKENS, side="right")) - 1)
+                some = flat[ends[at] : ends[to]].astype(np.int64)
+                if len(some):
+                    width = int(some.max()) + 1
+                    of = np.repeat(np.arange(to - at), np.diff(ends[at : to + 1]))
+                    held_in = np.bincount(np.unique(of * width + some) % width, minlength=len(total))
+                    held_in[: len(total)] += total
+                    total = held_in
+                at = to
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["token", "df"])
 
@@ -355,11 +361,14 @@ class Index:
     def __init__(self, units: list[np.ndarray], corpus: Statistics | None = None):
         self.n = len(units)
         lengths = np.array([len(u) for u in units], np.int64)
-        owner = np.repeat(np.arange(len(units), dtype=np.int64), lengths)
-        tokens = np.concatenate(units).astype(np.int64) if units else np.empty(0, np.int64)
+        tokens = np.concatenate(units) if units else np.empty(0, np.int32)
         width = int(tokens.max()) + 1 if len(tokens) else 1
-        cells, tf = np.unique(owner * width + tokens, return_counts=True)
-        unit, term = cells // width, cells % width
+        cells = np.repeat(np.arange(len(units), dtype=np.int64) * width, lengths)
+        cells += tokens
+        del tokens
+        cells, tf = np.unique(cells, return_counts=True)
+        unit, term = (cells // width).astype(np.int32), (cells % width).astype(np.int32)
+        del cells
         df = np.bincount(term, minlength=width)
         shared = df[term] > 1
         unit, term, tf = unit[shared], term[shared], tf[shared].astype(np.float64)
