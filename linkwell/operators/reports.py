@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkwell.schema import S1_ID
+from linkwell.session import dealt
 
 
 def counts_by_sets(
@@ -36,16 +37,17 @@ def counts_by_sets(
     )
 
 
-def multiset_diff(old: DataFrame, new: DataFrame) -> DataFrame:
+def multiset_diff(old: DataFrame, new: DataFrame, tasks: int = 1) -> DataFrame:
     """Distinct rows of two tables of the same columns, how often each has them (``n_old``, ``n_new``), and a ``status``.
 
     ``same`` and as often, ``added`` or ``dropped`` (only in one), ``more`` or ``fewer`` copies.
     Nulls are equal to each other. One grouping of both tables, combined before its
     shuffle; rows of ``EXCEPT ALL`` are those with a surplus, :func:`surplus` lists them.
+    Very many rows that hardly repeat are dealt to ``tasks`` before they are grouped.
     """
     one, none = F.lit(1), F.lit(0)
     both = old.select("*", one.alias("_o"), none.alias("_n")).unionByName(new.select("*", none.alias("_o"), one.alias("_n")))
-    counted = both.groupBy(*old.columns).agg(F.sum("_o").alias("n_old"), F.sum("_n").alias("n_new"))
+    counted = dealt(both, tasks, *old.columns).groupBy(*old.columns).agg(F.sum("_o").alias("n_old"), F.sum("_n").alias("n_new"))
     a, b = F.col("n_old"), F.col("n_new")
     status = F.when(a == b, "same").when(a == 0, "added").when(b == 0, "dropped").when(a < b, "more").otherwise("fewer")
     return counted.withColumn("status", status)
