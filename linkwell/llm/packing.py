@@ -42,7 +42,6 @@ WINDOW, END_ID = 4096, 2
 TOKENS_PER_SHARD = 2_000_000
 K1, B = 1.2, 0.75
 CACHED_BYTES, BATCH_BYTES, COUNTED_TOKENS = 48_000_000, 2_000_000, 1 << 18
-SORTED_FIRST = 64
 #: Words whose letters have one lower case each, whatever stands beside them, and no other composition.
 LATIN = r"^[\x00-\x{12F}\x{131}-\x{17F}]*$"
 WORD_END = "</w>"
@@ -387,25 +386,16 @@ class Index:
 
     def neighbours(self, seed: int, free: np.ndarray) -> np.ndarray:
         """Unused units that share a term with the seed, best first, ties by number."""
-        return np.fromiter(self.best_first(seed, free), np.int64)
-
-    def best_first(self, seed: int, free: np.ndarray) -> Iterator[int]:
-        """:func:`neighbours` one after another; beyond the first ones they are sorted only if they are asked for."""
         terms = self.terms[self.first[seed] : self.first[seed + 1]]
         if not len(terms):
-            return
+            return terms
         lo, hi = self.begin[terms], self.end[terms]
         size = hi - lo
         at = np.arange(size.sum()) + np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
         score = np.bincount(self.unit[at], self.weight[at], self.n)
         score[~free] = 0
         found = np.flatnonzero(score > 0)
-        score = score[found]
-        if len(found) > 2 * SORTED_FIRST:
-            head = score >= np.partition(score, -SORTED_FIRST)[-SORTED_FIRST]
-            yield from found[head][np.argsort(-score[head], kind="stable")].tolist()
-            found, score = found[~head], score[~head]
-        yield from found[np.argsort(-score, kind="stable")].tolist()
+        return found[np.argsort(-score[found], kind="stable")]
 
 
 def pack_shard(docs: list[tuple], window: int, last: bool, corpus: Statistics | None = None) -> tuple[list[list[tuple]], list[tuple]]:
@@ -448,8 +438,8 @@ def pack_shard(docs: list[tuple], window: int, last: bool, corpus: Statistics |
             continue
         free_now = free.copy()
         free_now[seed] = False
-        for i in index.best_first(seed, free_now):
-            place(i)
+        for i in index.neighbours(seed, free_now):
+            place(int(i))
             if not held:
                 break
     if not last:
