@@ -282,40 +282,138 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def sketch_of(ids: np.ndarray) -> int:
-    """The least hash of runs of three ids, which texts with much in common tend to share."""
-    if len(ids) < 3:
-        return 0
-    x = ids.astype(np.uint64)
-    return int(_mix((x[:-2] << np.uint64(42)) ^ (x[1:-1] << np.uint64(21)) ^ x[2:]).min() >> np.uint64(1))
+def sketches_of(flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The least hash of runs of three ids of each document, which texts with much in common tend to share; 0 below three ids."""
+    out = np.zeros(len(size), np.int64)
+    start, some = np.cumsum(size) - size, np.flatnonzero(size >= 3)
+    if len(some):
+        x = flat.astype(np.uint64)
+        runs = _mix((x[:-2] << np.uint64(42)) ^ (x[1:-1] << np.uint64(21)) ^ x[2:]) >> np.uint64(1)
+        ends = (start + size)[size > 0]
+        for beyond in (ends - 1, ends - 2):  # runs that reach into the next document
+            runs[beyond[(beyond >= 0) & (beyond < len(runs))]] = ~np.uint64(0)
+        # from the first run of a document to that of the next one
+        out[some] = np.minimum.reduceat(runs, start[some]).astype(np.int64)
+    return out
+
+
+def _some_at_a_time(flat: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Ranges of documents of ``COUNTED_TOKENS`` at most, or of one document, with their ids."""
+    ends, at = np.concatenate([[0], np.cumsum(size)]), 0
+    while at < len(size):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + COUNTED_TOKENS, side="right")) - 1)
+        yield at, to, flat[ends[at] : ends[to]]
+        at = to
+
+
+class Counted:
+    """In how many documents each token is."""
+
+    def __init__(self):
+        self.total = np.zeros(0, np.int64)
+
+    def add(self, flat: np.ndarray, size: np.ndarray) -> None:
+        for lo, hi, some in _some_at_a_time(flat, size):
+            if len(some):
+                width = int(some.max()) + 1
+                cells = np.repeat(np.arange(hi - lo) * width, size[lo:hi]) + some
+                cells.sort()  # far less work than np.unique's hashing
+                held_in = np.bincount(cells[np.diff(cells, prepend=-1) > 0] % width, minlength=len(self.total))
+                held_in[: len(self.total)] += self.total
+                self.total = held_in
+
+    def found(self) -> tuple[np.ndarray, np.ndarray]:
+        some = np.flatnonzero(self.total)
+        return some, self.total[some]
+
+
+# Token lists as bytes: little-endian, 16 bits for each id where those of a batch need no more, else 32. Spark moves them as
+# they are, where it would copy and encode an array id by id. A task's last row has no document, but the tokens it met (``df``).
+COMPACT = "ids binary, size long, sketch long, df array<struct<token: long, n: long>>"
+
+
+def _compact(keys: pa.Array, flat: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+    narrow = not len(flat) or int(flat.max()) < 1 << 16
+    ends = (np.concatenate([[0], np.cumsum(size)]) * (2 if narrow else 4)).astype(np.int32)
+    ids = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(flat.astype("<u2" if narrow else "<u4"))])
+    columns = [keys, ids, pa.array(size, pa.int64()), pa.array(sketches_of(flat, size)), pa.nulls(len(size), _DF)]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", *_COMPACT])
+
+
+_COMPACT = ["ids", "size", "sketch", "df"]
+_DF = pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int64())]))
+
+
+def _counts(key_type: pa.DataType, counted: Counted) -> pa.RecordBatch:
+    token, n = counted.found()
+    df = pa.ListArray.from_arrays(pa.array([0, len(token)], pa.int32()), pa.StructArray.from_arrays([pa.array(token), pa.array(n)], ["token", "n"]))
+    columns = [pa.nulls(1, key_type), pa.nulls(1, pa.binary()), *[pa.nulls(1, pa.int64())] * 2, df]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", *_COMPACT])
+
+
+def _wide(ids: pa.Array, size: np.ndarray) -> Iterator[np.ndarray]:
+    """The token ids of each row of the compact form."""
+    data, ends = np.frombuffer(ids.buffers()[2] or b"", np.uint8), np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
+    for lo, hi, n in zip(ends[:-1].tolist(), ends[1:].tolist(), size.tolist()):
+        yield data[lo:hi].view("<u2" if hi - lo == 2 * n else "<u4").astype(np.int32)
 
 
-def tokenize(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> DataFrame:
-    """doc_id, ``ids`` with the end id last, and ``sketch`` of each row. The tokenizer file is read on the driver."""
+def tokenize(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID, compact: bool = False) -> DataFrame:
+    """doc_id, ``ids`` with the end id last, and ``sketch`` of each row. The tokenizer file is read on the driver.
+
+    In the ``compact`` form the columns are those of ``COMPACT``, for :func:`pack`.
+    """
     with open(tokenizer, "rb") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
     tail = np.array([] if end_id is None else [end_id], np.int32)
 
+    def encoded(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+        words = _words_of(content.value.decode("utf-8"))
+        for lo, hi in _by_bytes(batch.column(1), BATCH_BYTES):
+            part = batch.slice(lo, hi - lo)
+            if hi - lo == 1 and words.by_words:
+                found = [words.encode(pa.array([x]))[0] for x in _segments(part.column(1)[0].as_py(), BATCH_BYTES)]
+                flat, size = np.concatenate([_NONE, *found]), np.array([sum(map(len, found))])
+            else:
+                flat, size = words.encode(part.column(1))
+            yield part.column(0), np.insert(flat, np.repeat(np.cumsum(size), len(tail)), np.tile(tail, len(size))), size + len(tail)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = _words_of(content.value.decode("utf-8"))
+        counted, key_type = Counted(), None
         for batch in batches:
-            for lo, hi in _by_bytes(batch.column(1), BATCH_BYTES):
-                part = batch.slice(lo, hi - lo)
-                if hi - lo == 1 and words.by_words:
-                    found = [words.encode(pa.array([x]))[0] for x in _segments(part.column(1)[0].as_py(), BATCH_BYTES)]
-                    flat, size = np.concatenate([_NONE, *found]), np.array([sum(map(len, found))])
-                else:
-                    flat, size = words.encode(part.column(1))
-                ids = [np.append(i, tail) for i in np.split(flat, np.cumsum(size)[:-1])]
-                offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), lists, pa.array([sketch_of(i) for i in ids], pa.int64())], ["doc_id", "ids", "sketch"]
-                )
+            key_type = batch.column(0).type
+            for keys, flat, size in encoded(batch):
+                if compact:
+                    counted.add(flat, size)
+                    yield _compact(keys, flat, size)
+                    continue
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([keys, lists, pa.array(sketches_of(flat, size))], ["doc_id", "ids", "sketch"])
+        if compact and key_type is not None:
+            yield _counts(key_type, counted)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {kind}, ids array<int>, sketch long")
+    columns = COMPACT if compact else "ids array<int>, sketch long"
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {kind}, {columns}")
+
+
+def compacted(tokens: DataFrame) -> DataFrame:
+    """Lists ``ids`` in the compact form."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counted, key_type = Counted(), None
+        for batch in batches:
+            key_type, lists = batch.column(0).type, batch.column(1)
+            flat, size = lists.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(lists).to_numpy().astype(np.int64)
+            counted.add(flat, size)
+            for lo, hi, some in _some_at_a_time(flat, size):
+                yield _compact(batch.column(0).slice(lo, hi - lo), some, size[lo:hi])
+        if key_type is not None:
+            yield _counts(key_type, counted)
+
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+    return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, {COMPACT}")
 
 
 class Statistics(NamedTuple):
@@ -327,31 +425,11 @@ class Statistics(NamedTuple):
 
 
 def statistics(held: DataFrame) -> Statistics:
-    """Of the lists ``ids``. What comes to the driver is a number for each token of the vocabulary at most."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            lists = batch.column(0)
-            ends = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
-            flat, at = lists.flatten().to_numpy(zero_copy_only=False), 0
-            while at < len(ends) - 1:  # some documents at a time
-                to = max(at + 1, int(np.searchsorted(ends, ends[at] + COUNTED_TOKENS, side="right")) - 1)
-                some = flat[ends[at] : ends[to]].astype(np.int64)
-                if len(some):
-                    width = int(some.max()) + 1
-                    of = np.repeat(np.arange(to - at), np.diff(ends[at : to + 1]))
-                    cells = of * width + some
-                    cells.sort()  # far less work than np.unique's hashing
-                    held_in = np.bincount(cells[np.diff(cells, prepend=-1) > 0] % width, minlength=len(total))
-                    held_in[: len(total)] += total
-                    total = held_in
-                at = to
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["token", "df"])
-
-    n, tokens = held.agg(F.count(F.lit(1)), F.sum(F.size("ids").cast("long"))).first()
-    rows = held.select("ids").mapInArrow(run, "token long, df long").groupBy("token").agg(F.sum("df").alias("df")).collect()
+    """Of the lists ``ids``, or of their compact form. What comes to the driver is a number for each token of the vocabulary at most."""
+    if "df" not in held.columns:
+        held = compacted(held.select(F.lit(0).alias("doc_id"), "ids"))
+    n, tokens = held.agg(F.count("size"), F.sum("size")).first()
+    rows = held.select(F.inline("df")).groupBy("token").agg(F.sum("n").alias("df")).collect()
     df = np.zeros(max((r.token for r in rows), default=0) + 1, np.int64)
     df[[r.token for r in rows]] = [r.df for r in rows]
     return Statistics(n, (tokens or 0) / max(n, 1), df)
@@ -368,7 +446,9 @@ class Index:
         cells = np.repeat(np.arange(len(units), dtype=np.int64) * width, lengths)
         cells += tokens
         del tokens
-        cells, tf = np.unique(cells, return_counts=True)
+        cells.sort()
+        first = np.flatnonzero(np.diff(cells, prepend=-1) > 0)
+        cells, tf = cells[first], np.diff(first, append=len(cells))
         unit, term = (cells // width).astype(np.int32), (cells % width).astype(np.int32)
         del cells
         df = np.bincount(term, minlength=width)
@@ -471,15 +551,18 @@ PIECE = "start long, length long, doc_tokens long, sequence_id long, offset long
 def pack(tokens: DataFrame, window: int = WINDOW, tokens_per_shard: int = TOKENS_PER_SHARD) -> DataFrame:
     """A row for each piece of a document, with its place in a sequence and its ids (little-endian, 32-bit).
 
-    Runs jobs: ``tokens`` are staged and counted.
+    Runs jobs: ``tokens``, of either form, are staged and counted.
     """
-    held = stage(tokens.select("doc_id", "ids", "sketch"), "tokens")
+    if "df" not in tokens.columns:
+        tokens = compacted(tokens)
+    held = stage(tokens.withColumn("tie", F.xxhash64("ids")), "tokens")
     counted = statistics(held)
     shards = max(1, -(-round(counted.n * counted.mean) // tokens_per_shard))
     corpus = held.sparkSession.sparkContext.broadcast(counted)
     kind = held.schema["doc_id"].dataType.simpleString()
-    tie = F.xxhash64("ids")
-    dealt = held.repartitionByRange(shards, "sketch", "doc_id", tie).sortWithinPartitions("sketch", "doc_id", tie)
+    order = ["sketch", "doc_id", "tie"]
+    lists = held.filter("size is not null").select("doc_id", "ids", "size", "sketch", "tie")
+    dealt = lists.repartitionByRange(shards, *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -505,14 +588,13 @@ def pack(tokens: DataFrame, window: int = WINDOW, tokens_per_shard: int = TOKENS
 
         for batch in batches:
             key_type = batch.column(0).type
-            flat, offsets = batch.column(1).values.to_numpy(zero_copy_only=False), batch.column(1).offsets.to_numpy()
-            for key, lo, hi in zip(batch.column(0).to_pylist(), offsets[:-1], offsets[1:]):
+            for key, ids in zip(batch.column(0).to_pylist(), _wide(batch.column(1), batch.column(2).to_numpy())):
                 empty = False
-                docs.append((key, int(hi - lo), 0, flat[lo:hi].copy()))
-                size += int(hi - lo)
+                docs.append((key, len(ids), 0, ids))
+                size += len(ids)
                 if size - carried >= tokens_per_shard:
                     yield packed(last=False)
         if not empty:
             yield packed(last=True)
 
-    return dealt.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, {PIECE}")
+    return dealt.select("doc_id", "ids", "size").mapInArrow(run, f"doc_id {kind}, {PIECE}")

@@ -124,7 +124,7 @@ SQL["op4_winnowed_line_dedup"] = r"""
 
 @query
 def op2_bm25_packing(spark, sf_dir):
-    tokens = packing.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    tokens = packing.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), compact=True)
     return packing.pack(tokens).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
