@@ -41,7 +41,7 @@ def block(
     if strategy == "capped":
         pairs = blocking.block_capped(ours, theirs, prefix4_cap, prefix6_cap)
     elif strategy == "index":
-        pairs = blocking.block_index(ours, theirs, token_cap)
+        pairs = blocking.block_index(ours, theirs, token_cap, listed=True)
     else:
         raise ValueError(f"strategy must be capped or index, got {strategy!r}")
     files.write_tsv(blocking.candidate_lists(ours, pairs), output, sort_by=S1_ID)
@@ -165,7 +165,7 @@ def resolve(
         matches, pairs = pipeline.resolve_prepared(ours, theirs, fitted, limit), blocking.block_capped(ours, theirs)
     elif strategy == "index":
         fitted, limit = index_pipeline.fit_index(ours, theirs, truth, **trees), threshold or output.DEFAULT_THRESHOLD
-        matches, pairs = index_pipeline.resolve_index(ours, theirs, fitted, limit), blocking.block_index(ours, theirs)
+        matches, pairs = index_pipeline.resolve_index(ours, theirs, fitted, limit), blocking.block_index(ours, theirs, listed=True)
     else:
         raise ValueError(f"strategy must be capped or index, got {strategy!r}")
     model.save_model(fitted, f"{output_dir}/model")
