@@ -11,9 +11,13 @@ all others are decided on the full sets.
 Buckets never emit all their pairs. In each round every unresolved bucket names
 hubs, and only members outside a hub's component are compared with it. A hub has
 then met its whole bucket and leaves it. A bucket is resolved when all members
-left in it belong to one component; the number of hubs grows sixteenfold from
-round to round. Every pair of a bucket is thus either decided or within a component, as
-if all had been compared, while a group of near copies costs a row for each.
+left in it belong to one component; the number of hubs grows sixty-four-fold from
+round to round, and where it reaches the members of a bucket, all of them are hubs
+and the bucket is resolved. Every pair of a bucket is thus either decided or within a
+component, as if all had been compared, while a group of near copies costs a row for each.
+
+Tables are counted while they are staged. Those of few rows are broadcast, so that the
+later rounds, in which little is left, don't shuffle for each join.
 
 Bands of four samples, twenty of them, miss a pair of similarity 0.85 with
 probability 4e-7.
@@ -32,17 +36,19 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from linkwell.llm.common import text_of
-from linkwell.session import stage
+from linkwell.session import shuffle_tasks, stage, stage_counted
 
 SHINGLE = 5
 BANDS, BAND_ROWS, SAMPLES = 20, 4, 256
 SKETCH_WORDS = 16
 SLACK = 0.14
 BROADCAST_IDS = 1_000_000
+BROADCAST_ROWS, BROADCAST_WIDE = 100_000, 25_000  # some 100 bytes a row, or 400
+HUB_GROWTH = 64
 CHUNK_BYTES = 1 << 20
 
 _RANDOM = np.random.default_rng(20_240_607)
@@ -206,11 +212,14 @@ def _words() -> list[Column]:
     return [F.get(c, F.lit(i)).alias(f"{c}{i}") for c in ("sketch", "members") for i in range(SKETCH_WORDS)]
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node`` and its set, for the nodes of ``nodes`` (doc_id and what stands for the set), staged."""
-    ids = nodes.select(F.col("doc_id").alias("node")).distinct()
-    count = ids.count()
-    ids = F.broadcast(ids) if count <= BROADCAST_IDS else ids  # 8 bytes an id
+def _few(df: DataFrame, rows: int, most: int) -> DataFrame:
+    """The table, broadcast if it has at most so many rows."""
+    return F.broadcast(df) if rows <= most else df
+
+
+def full_sets(docs: DataFrame, nodes: DataFrame, count: int) -> DataFrame:
+    """``node`` and its set, for the ``count`` nodes of ``nodes`` (doc_id and what stands for the set), staged."""
+    ids = _few(nodes.select(F.col("doc_id").alias("node")), count, BROADCAST_IDS)  # 8 bytes an id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,32 +236,29 @@ def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.col("doc_id").alias("node"), text_of().alias("text")).join(ids, "node", "left_semi")
     found = rows.mapInArrow(run, f"node {kind}, n_shingles long, sum_a long, sum_b long, hashes array<long>")
-    own = nodes.select(F.col("doc_id").alias("node"), *SET)
+    own = _few(nodes.select(F.col("doc_id").alias("node"), *SET), count, BROADCAST_ROWS)
     return stage(found.join(own, ["node", *SET], "left_semi").dropDuplicates(["node", *SET]), "sets")
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """``node`` and ``component``, its least reachable node, of edges (a, b). Runs jobs.
+def connected_components(edges: DataFrame, count: int) -> tuple[DataFrame, int]:
+    """``node`` and ``component``, its least reachable node, of ``count`` staged edges (a, b), and how many. Runs jobs.
 
-    Alternates two steps until nothing changes: each node hands its greater
-    neighbours, then its lesser ones, to the least of them. Both keep all
-    components and only group and join by node.
+    Alternates two steps until all components are stars around their least node: each
+    node hands its greater neighbours, then its lesser ones, to the least of them. Both
+    keep all components and only group and join by node.
     """
-    edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "edges")
-    checksum = F.sum(F.xxhash64("a", "b").cast("decimal(20, 0)"))
-    before = None
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b")
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        around = both.groupBy("a").agg(F.min("b").alias("m"), F.count_if(F.col("b") < F.col("a")).alias("less"), F.count(F.lit(1)).alias("all"))
+        if not around.filter("less > 1 or less = 1 and all > 1").take(1):
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")), count
+        least = _few(around.select("a", F.least("m", "a").alias("m")), 2 * count, BROADCAST_ROWS)
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
-        large = stage(large, "edges")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large, count = stage_counted(large, "edges")
+        least = _few(large.groupBy("a").agg(F.min("b").alias("m")), count, BROADCAST_ROWS)
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        edges = stage(small.select("e.*").filter("a != b").distinct(), "edges")
-        now = edges.agg(F.count(F.lit(1)), checksum).first()
-        if now == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        before = now
+        edges, count = stage_counted(small.select("e.*").filter("a != b").distinct(), "edges")
 
 
 def _near(pair: DataFrame, hub: DataFrame, percent: int) -> DataFrame:
@@ -275,68 +281,86 @@ def _near(pair: DataFrame, hub: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("node", "h_node").alias("a"), F.greatest("node", "h_node").alias("b")).distinct()
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets share at least ``percent`` of their union."""
+def _links(pairs: DataFrame, count: int, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of ``count`` pairs (a, b) whose full sets share at least ``percent`` of their union."""
     hashes = lambda s: sets.select(F.col("node").alias(s), F.col("hashes").alias(f"h_{s}"))
+    if count <= BROADCAST_ROWS:
+        whole = hashes("b").join(F.broadcast(pairs), "b").join(hashes("a").join(F.broadcast(pairs), "a"), ["a", "b"])
+    else:
+        whole = pairs.join(hashes("b"), "b").join(hashes("a"), "a")
     shared, size = F.size(F.array_intersect("h_a", "h_b")), F.size("h_a") + F.size("h_b")
-    whole = pairs.join(hashes("b"), "b").join(hashes("a"), "a").withColumns({"shared": shared, "size": size})
+    whole = whole.withColumns({"shared": shared, "size": size})
     return whole.filter(100 * F.col("shared") >= percent * (F.col("size") - F.col("shared"))).select("a", "b")
 
 
+def _with_hubs(live: DataFrame, count: int, hubs: int) -> tuple[DataFrame, int]:
+    """The ``count`` rows of ``live`` (bucket, its number ``n`` of members, node, component) with ``is_hub``, staged, and the number of hubs.
+
+    At most ``hubs`` for each bucket, drawn by a hash of the node; all members where they aren't more.
+    """
+    drawn = F.xxhash64("node")
+    part = F.when(F.col("n") <= hubs, drawn).otherwise(F.pmod(drawn, F.lit(hubs))).alias("part")
+    chosen = live.groupBy("bucket", part).agg(F.min("node").alias("node")).select("bucket", "node", F.lit(True).alias("is_hub"))
+    marked = live.join(_few(chosen, count, BROADCAST_ROWS), ["bucket", "node"], "left")
+    marked = marked.select("bucket", "node", "component", F.coalesce("is_hub", F.lit(False)).alias("is_hub"))
+    seen = Observation()
+    marked = stage(marked.observe(seen, F.count_if("is_hub").alias("hubs")), "marked")
+    return marked, seen.get["hubs"]
+
+
 def components(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row of ``docs``. Runs jobs; texts are read twice."""
     signed = stage(signatures(docs), "signatures")
     named = signed.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    nodes = stage(
-        named.groupBy(*SET).agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"), *[F.any_value(c).alias(c) for c in ("sketch", "members")]),
-        "nodes",
-    )
+    nodes = named.groupBy(*SET).agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"), *[F.any_value(c).alias(c) for c in ("sketch", "members")])
     # An id with several texts is a node for each; they are told apart by number.
     nodes = stage(nodes.withColumn("node", F.struct("doc_id", *SET)), "nodes")
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    members = stage(buckets.join(shared, "bucket"), "members")
-    met = members.select("node").distinct()
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # All nodes are components of their own yet, so every bucket is open.
+    live, count = stage_counted(buckets.join(shared, "bucket").select("bucket", "n", "node", F.col("node").alias("component")), "live")
+    met = _few(live.select("node"), count, BROADCAST_ROWS)
     near = nodes.join(met, "node", "left_semi").select("node", F.col("node.n_shingles").alias("n_shingles"), *_words())
-    near = stage(near, "near")
-    sets = full_sets(docs, near.select("node.*")).select(F.struct(F.col("node").alias("doc_id"), *SET).alias("node"), "hashes")
-    labels, hubs = None, 1
-    while True:
-        live = members if labels is None else members.join(labels, "node", "left")
-        known = F.col("node") if labels is None else F.coalesce("component", "node")
-        live = live.select("bucket", "node", known.alias("component"))
-        open_ = live.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
-        live = stage(live.join(open_.select("bucket"), "bucket"), "live")
-        if not live.take(1):
-            break
-        part = F.pmod(F.xxhash64("node"), F.lit(hubs)).alias("part")
-        chosen = stage(live.groupBy("bucket", part).agg(F.min(F.struct("node", "component")).alias("hub")).select("bucket", "hub.*"), "hubs")
-        traits = [c for c in near.columns if c != "node"]
-        drawn = lambda x: x.join(near, "node").select("bucket", "node", "component", *traits)
-        # Two hubs of a bucket are compared once.
-        is_hub = F.coalesce("is_hub", F.lit(False)).alias("is_hub")
-        marked = drawn(live).join(chosen.select("bucket", "node", F.lit(True).alias("is_hub")), ["bucket", "node"], "left")
-        marked = marked.select("bucket", "node", "component", *traits, is_hub)
-        links = stage(_links(_near(marked, drawn(chosen), percent), sets, percent), "links")
-        if not links.take(1):
-            pass
-        elif labels is None:
-            labels = connected_components(links)
-        else:
-            of = lambda s: labels.select(F.col("node").alias(s), F.col("component").alias(f"c_{s}"))
+    near, n_near = stage_counted(near, "near")
+    sets = full_sets(docs, near.select("node.*"), n_near).select(F.struct(F.col("node").alias("doc_id"), *SET).alias("node"), "hashes")
+    traits = _few(near, n_near, BROADCAST_WIDE)
+    labels, n_labels, hubs = None, 0, 1
+    while count:
+        marked, n_hubs = _with_hubs(live, count, hubs)
+        drawn = lambda x: x.join(traits, "node").select("bucket", "node", "component", *[c for c in near.columns if c != "node"], "is_hub")
+        pair, hub = marked, drawn(marked.filter("is_hub")).drop("is_hub")
+        if n_hubs <= BROADCAST_WIDE:
+            # Members meet their hubs wherever they are: a hot bucket is spread as well.
+            hub = F.broadcast(hub)
+            if n_near <= BROADCAST_WIDE:
+                pair = marked.repartition(shuffle_tasks(docs.sparkSession))
+        pairs, n_pairs = stage_counted(_near(drawn(pair), hub, percent), "pairs")
+        links, n_links = stage_counted(_links(pairs, n_pairs, sets, percent), "links") if n_pairs else (pairs, 0)
+        if n_links and labels is None:
+            labels, n_labels = connected_components(links, n_links)
+        elif n_links:
+            of = lambda s: _few(labels.select(F.col("node").alias(s), F.col("component").alias(f"c_{s}")), n_labels, BROADCAST_ROWS)
             ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
                 F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")
             )
-            found = connected_components(ends)
+            found, n_found = connected_components(*stage_counted(ends, "ends"))
             moved = found.select(F.col("node").alias("component"), F.col("component").alias("to"))
-            kept = labels.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
-            fresh = found.join(labels, "node", "left_anti")
-            labels = stage(kept.unionByName(fresh), "labels")
-        members = stage(live.join(chosen, ["bucket", "node"], "left_anti").select("bucket", "node"), "members")
-        hubs *= 16
+            kept = labels.join(_few(moved, n_found, BROADCAST_ROWS), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+            fresh = found.join(_few(labels, n_labels, BROADCAST_ROWS), "node", "left_anti")
+            labels, n_labels = stage_counted(kept.unionByName(fresh), "labels")
+        left = marked.filter(~F.col("is_hub")).select("bucket", "node")
+        if labels is None:
+            left = left.withColumn("component", F.col("node"))
+        else:
+            known = left.join(_few(labels, n_labels, BROADCAST_ROWS), "node", "left")
+            left = known.select("bucket", "node", F.coalesce("component", "node").alias("component"))
+        open_ = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        open_ = _few(open_.filter("lo != hi").select("bucket", "n"), count - n_hubs, BROADCAST_ROWS)
+        live, count = stage_counted(left.join(open_, "bucket").select("bucket", "n", "node", "component"), "live")
+        hubs *= HUB_GROWTH
     base = nodes.select(*SET, "node")
     if labels is not None:
-        base = base.join(labels, "node", "left").select(*SET, F.coalesce("component", "node").alias("node"))
+        base = base.join(_few(labels, n_labels, BROADCAST_ROWS), "node", "left").select(*SET, F.coalesce("component", "node").alias("node"))
     base = base.select(*SET, F.col("node.doc_id").alias("first_id"))
     slim = signed.select("doc_id", *SET)
     known = slim.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).join(base, SET)

@@ -10,6 +10,7 @@ from corpus_cases import CLASHES, SCHEMA, base_counts, linked_components, odd_ro
 
 from linkwell.llm import minhash, quality, queries, toxicity
 from linkwell.llm.common import table
+from linkwell.session import scratch_mark, scratch_since
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -164,6 +165,47 @@ def test_a_large_group_of_near_copies(spark):
     assert {r.doc_id: r.component_id for r in minhash.components(frame).collect()} == component
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_buckets_without_links_end_in_three_rounds(spark, monkeypatch, broadcast):
+    """op9: texts of similarity 0.7, which share buckets by the dozen, beside linked ones; the same with and without broadcasts."""
+    if not broadcast:
+        for name in ("BROADCAST_IDS", "BROADCAST_ROWS", "BROADCAST_WIDE"):
+            monkeypatch.setattr(minhash, name, -1)
+    rng = random.Random(11)
+    base = sentence(rng, 120).split(" ")
+    texts = []
+    for i in range(150):
+        edited = list(base)
+        edited[10 + rng.randrange(50)], edited[65 + rng.randrange(50)] = f"one{i}", f"two{i}"
+        texts.append(" ".join(edited))
+        if i % 10 == 0:
+            texts += [" ".join(edited[:-j]) for j in range(1, 1 + i % 4)]
+    texts += texts[:5]
+    mark = scratch_mark()
+    found = minhash.components(spark.createDataFrame(rows(texts), SCHEMA))
+    component, sizes = linked_components(dict(enumerate(texts)))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == {d: (sizes[d], component[d]) for d in component}
+    assert len(set(component.values())) == 150
+    assert len([x for x in scratch_since(mark) if "/live-" in x]) <= 4  # the first, and one after each round
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_connected_components_of_chains_and_stars(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(minhash, "BROADCAST_ROWS", -1)
+    rng = random.Random(2)
+    chain, star = [(i, i + 1) for i in range(100, 140)], [(200, 200 + i) for i in range(1, 20)]
+    edges = [e if rng.random() < 0.5 else e[::-1] for e in chain + star + star[:3] + [(300, 300), (310, 305), (310, 307)]]
+    for some in (edges, star, []):
+        least = {x: x for e in some for x in e}
+        for _ in some:
+            for a, b in some:
+                least[a] = least[b] = min(least[a], least[b])
+        found, count = minhash.connected_components(spark.createDataFrame(some, "a bigint, b bigint"), len(some))
+        got = [(r.node, r.component) for r in found.collect()]
+        assert sorted(got) == sorted((x, y) for x, y in least.items() if x != y) and count == len(got)
+
+
 def test_near_duplicates_of_odd_rows(spark, odd):
     found = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in minhash.components(odd).collect()}
     assert found[(3, 0)] == (3, True) and found[(None, 0)] == (None, True)
