@@ -90,3 +90,27 @@ def test_scores_are_reproducible(spark):
     fitted = lambda: model.score(model.train_model(rows, maxIter=3, maxDepth=3), rows)
     run = lambda: sorted(map(tuple, fitted().select(S1_ID, CANDIDATE_ID, "match_probability").collect()))
     assert run() == run()
+
+
+def test_features_for_training_serve_resolving(world, spark, monkeypatch):
+    """The rows of training hold each pair's features once more; the query of the whole chain aligns pairs once."""
+    raw, s1, targets, fitted, best = world
+    copies = registry.entities(spark, SMALL).withColumn(
+        "entity_id", F.explode(F.array(*[F.concat("entity_id", F.lit(s)) for s in ("", "b", "c")]))
+    )
+    groups = documents.truth_groups(copies)
+    twice = groups.unionByName(groups.withColumn("truth_key", F.concat("truth_key", F.lit("-"))))  # more true pairs than pairs
+    want = sorted(map(tuple, pipeline.profile_features(s1, targets, *CAPS).collect()))
+    for truth in (documents.truth_pairs(copies), groups, twice):
+        rows = pipeline.labelled_profiles(s1, targets, truth, *CAPS)
+        assert sorted(map(tuple, pipeline.unlabelled(rows).collect())) == want
+    limit = best.first().threshold
+    plain, shared = (
+        sorted(map(tuple, pipeline.resolve_prepared(s1, targets, fitted, limit, *CAPS, features=f).collect()))
+        for f in (None, pipeline.unlabelled(rows))
+    )
+    assert plain == shared
+    made, score_pairs = [], pipeline.score_pairs
+    monkeypatch.setattr(pipeline, "score_pairs", lambda *a, **k: made.append(1) or score_pairs(*a, **k))
+    assert registry.QUERIES["resolve_end_to_end"](spark, SMALL).filter("all_candidates and in_order").count() > 0
+    assert made == [1]
